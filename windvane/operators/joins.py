@@ -11,6 +11,22 @@ from windvane.operators.ordered import known
 from windvane.session import broadcast_if_small, is_small
 
 
+def join_outer_rare(signals: DataFrame, rare: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer equi join where the right side is usually tiny.
+
+    A measured-small right side is broadcast, so the left rows are not shuffled: matched rows come
+    from a left join, and the right rows without partner from an anti join with the keys that did
+    match, which are no more than the right side's own keys. A larger right side uses the shuffled
+    full join.
+    """
+    if not is_small(rare):
+        return signals.join(rare, keys, "full")
+    matched = signals.join(F.broadcast(rare), keys, "left")
+    seen = signals.select(*keys).join(F.broadcast(rare.select(*keys)), keys, "left_semi").distinct()
+    alone = rare.join(F.broadcast(seen), keys, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def join_outer_keys(
     signals: DataFrame,
     failures: DataFrame,
@@ -23,20 +39,10 @@ def join_outer_keys(
     """Full outer join with one component's failures; the flag is 1 on failure rows and 0 elsewhere.
 
     A failure without a signal row stays as a row of its own, and its sensors become 0 with
-    ``zero_fill``. A measured-small failure side is broadcast, so the signals are not shuffled:
-    matched rows come from a left join, unmatched failures from an anti join of the small side
-    with the small set of keys that did match. A larger side uses the shuffled full join.
+    ``zero_fill``.
     """
     chosen = failures if component is None else failures.filter(F.col(component_col) == F.lit(component))
-    chosen = chosen.select(*keys, F.lit(1).alias("_hit"))
-    if is_small(chosen):
-        matched = signals.join(F.broadcast(chosen), keys, "left")
-        # at most one row per distinct failure key, so this side is bounded by the measured one
-        seen = signals.select(*keys).join(F.broadcast(chosen.select(*keys)), keys, "left_semi").distinct()
-        alone = chosen.join(F.broadcast(seen), keys, "left_anti")
-        joined = matched.unionByName(alone, allowMissingColumns=True)
-    else:
-        joined = signals.join(chosen, keys, "full")
+    joined = join_outer_rare(signals, chosen.select(*keys, F.lit(1).alias("_hit")), keys)
     out = joined.withColumn(flag, F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit")
     sensors = [f.name for f in signals.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in keys]
     return out.na.fill(0, subset=sensors) if zero_fill and sensors else out

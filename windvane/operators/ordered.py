@@ -36,6 +36,12 @@ class Layout:
     def whole(self) -> bool:
         return self.width is None
 
+    @property
+    def group(self) -> tuple[str, ...]:
+        """What one task scans: a whole group (its partitioning then also serves later
+        aggregates and windows on the keys), or one block of it."""
+        return self.keys if self.whole else (*self.keys, BLOCK)
+
 
 def _number(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
@@ -48,8 +54,6 @@ def _number(df: DataFrame, name: str) -> Column:
 
 
 def _block_of(df: DataFrame, layout: Layout) -> Column:
-    if layout.whole:
-        return F.lit(0).cast("long")
     number = _number(df, layout.order[0])
     # rows without an order value sort first, in a block of their own
     return F.coalesce(F.floor(number / F.lit(layout.width)).cast("long"), F.lit(-(2**62)).cast("long"))
@@ -161,12 +165,12 @@ def known(
     before_columns = df.columns
     df, layout = _prepare(df, keys, order, layout, max_rows)
     raw = {f"_raw{i}": value for i, value in enumerate(values.values())}
-    df = df.withColumns({**raw, BLOCK: _block_of(df, layout)})
+    df = df.withColumns({**raw} if layout.whole else {**raw, BLOCK: _block_of(df, layout)})
     # a descending order with a growing frame is linear; a frame ending at "unbounded following"
     # would be recomputed for every row
     turn = F.desc if direction == "next" else F.asc
     within = (
-        Window.partitionBy(*layout.keys, BLOCK)
+        Window.partitionBy(*layout.group)
         .orderBy(*[turn(c) for c in layout.order])
         .rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -207,10 +211,8 @@ def running_sum(
     before_columns = df.columns
     df, layout = _prepare(df, keys, order, layout, max_rows)
     raw = {f"_raw{i}": value for i, value in enumerate(values.values())}
-    df = df.withColumns({**raw, BLOCK: _block_of(df, layout)})
-    within = (
-        Window.partitionBy(*layout.keys, BLOCK).orderBy(*layout.order).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    df = df.withColumns({**raw} if layout.whole else {**raw, BLOCK: _block_of(df, layout)})
+    within = Window.partitionBy(*layout.group).orderBy(*layout.order).rowsBetween(Window.unboundedPreceding, 0)
     local = df.withColumns({name: F.sum(r).over(within) for name, r in zip(values, raw)})
     if not layout.whole:
         totals = df.groupBy(*layout.keys, BLOCK).agg(*[F.sum(r).alias(r) for r in raw])
