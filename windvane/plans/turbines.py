@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from windvane.functions.scalar import case_flag
 from windvane.functions.time import days_between, floor_hour
 from windvane.operators import evaluation, models, ordered, scaling
+from windvane.operators.aggregates import group_by_period
 from windvane.operators.joins import join_outer_rare
-from windvane.operators.labels import horizon_labels
-from windvane.operators.select import columns_matching
+from windvane.operators.nulls import backfill
 from windvane.operators.splits import split_by_months
+from windvane.operators.windows import add_rolling_features
+from windvane.session import cut_lineage
 
 # Name parts of the columns each component uses, in order.
 PARTS = {
@@ -40,20 +42,34 @@ LOG_COMPONENTS = {
 }
 
 # Correlated columns left out per component.
-_COMMON_DROPS = [
-    "Amb_WindSpeed_Est_Avg", "Blds_PitchAngle_Max", "Blds_PitchAngle_Min", "Cont_VCP_Temp_Avg",
-    "Grd_RtrInvPhase1_Temp_Avg", "Grd_RtrInvPhase3_Temp_Avg", "Rtr_RPM_Max", "Rtr_RPM_Min", "Spin_Temp_Avg",
-]
-_GENERATOR_DROPS = [
-    "Cont_Hub_Temp_Avg", "Gen_Phase1_Temp_Avg", "Gen_Phase3_Temp_Avg", "Gen_RPM_Max", "Gen_RPM_Min",
-    "Prod_LatestAvg_ReactPwrGen1", "Rtr_RPM_Avg", "Rtr_RPM_Std",
-]
 DROPS = {
-    "generator": _COMMON_DROPS + _GENERATOR_DROPS,
-    "gen_bear": _COMMON_DROPS + _GENERATOR_DROPS,
-    "hydraulic": _COMMON_DROPS + ["Cont_Hub_Temp_Avg", "Grd_Busbar_Temp_Avg"],
-    "gearbox": _COMMON_DROPS + ["Grd_Busbar_Temp_Avg"],
-    "transformer": _COMMON_DROPS + ["HVTrafo_Phase1_Temp_Avg", "HVTrafo_Phase3_Temp_Avg"],
+    "generator": [
+        "Gen_RPM_Max", "Gen_RPM_Min", "Gen_Phase1_Temp_Avg", "Gen_Phase3_Temp_Avg", "Amb_WindSpeed_Est_Avg",
+        "Grd_RtrInvPhase1_Temp_Avg", "Grd_RtrInvPhase3_Temp_Avg", "Rtr_RPM_Max", "Rtr_RPM_Min",
+        "Blds_PitchAngle_Max", "Blds_PitchAngle_Min", "Prod_LatestAvg_ReactPwrGen1", "Cont_Hub_Temp_Avg",
+        "Spin_Temp_Avg", "Rtr_RPM_Std", "Rtr_RPM_Avg", "Cont_VCP_Temp_Avg",
+    ],
+    "hydraulic": [
+        "Rtr_RPM_Max", "Rtr_RPM_Min", "Blds_PitchAngle_Max", "Blds_PitchAngle_Min", "Grd_RtrInvPhase3_Temp_Avg",
+        "Grd_Busbar_Temp_Avg", "Amb_WindSpeed_Est_Avg", "Spin_Temp_Avg", "Cont_Hub_Temp_Avg",
+        "Grd_RtrInvPhase1_Temp_Avg", "Cont_VCP_Temp_Avg",
+    ],
+    "gen_bear": [
+        "Gen_RPM_Max", "Gen_RPM_Min", "Gen_Phase1_Temp_Avg", "Gen_Phase3_Temp_Avg", "Amb_WindSpeed_Est_Avg",
+        "Grd_RtrInvPhase1_Temp_Avg", "Grd_RtrInvPhase3_Temp_Avg", "Rtr_RPM_Max", "Rtr_RPM_Min",
+        "Blds_PitchAngle_Max", "Blds_PitchAngle_Min", "Prod_LatestAvg_ReactPwrGen1", "Cont_Hub_Temp_Avg",
+        "Spin_Temp_Avg", "Rtr_RPM_Std", "Rtr_RPM_Avg", "Cont_VCP_Temp_Avg",
+    ],
+    "transformer": [
+        "HVTrafo_Phase1_Temp_Avg", "HVTrafo_Phase3_Temp_Avg", "Rtr_RPM_Max", "Rtr_RPM_Min",
+        "Grd_RtrInvPhase1_Temp_Avg", "Grd_RtrInvPhase3_Temp_Avg", "Blds_PitchAngle_Min", "Blds_PitchAngle_Max",
+        "Amb_WindSpeed_Est_Avg", "Spin_Temp_Avg", "Cont_VCP_Temp_Avg",
+    ],
+    "gearbox": [
+        "Rtr_RPM_Max", "Rtr_RPM_Min", "Grd_RtrInvPhase1_Temp_Avg", "Grd_RtrInvPhase3_Temp_Avg",
+        "Blds_PitchAngle_Min", "Blds_PitchAngle_Max", "Cont_VCP_Temp_Avg", "Grd_Busbar_Temp_Avg",
+        "Amb_WindSpeed_Est_Avg", "Spin_Temp_Avg",
+    ],
 }
 
 # Turbines whose rows train a component's model.
@@ -148,8 +164,6 @@ def component_table(daily: DataFrame, component: str, setup: Setup) -> DataFrame
 
 
 def rolling_table(daily: DataFrame, sensors: list[str], setup: Setup) -> DataFrame:
-    from windvane.operators.windows import add_rolling_features
-
     return add_rolling_features(daily, sensors, [setup.key], ["Date"], setup.window, max_rows=setup.max_rows)
 
 
@@ -176,8 +190,6 @@ class Trained:
 
 def train(signals: DataFrame, failures: DataFrame, setup: Setup) -> Trained:
     """The whole training run: prepare, split, scale, fit, predict and value the predictions."""
-    from windvane.session import cut_lineage
-
     daily = cut_lineage(daily_labelled(signals, failures, setup))  # read once per component below
     fitted, scalers, tables = {}, {}, []
     for component in setup.components:
@@ -211,9 +223,6 @@ def train(signals: DataFrame, failures: DataFrame, setup: Setup) -> Trained:
 
 def score(signals: DataFrame, trained_models: dict, scalers: dict, setup: Setup) -> DataFrame:
     """Predictions of all components for new signals: daily mean, rolling features, stored scaler, stored model."""
-    from windvane.operators.aggregates import group_by_period
-    from windvane.operators.nulls import backfill
-
     columns = [c for c in signals.columns if c not in (setup.key, setup.ts)]
     needed = sorted({c for n in trained_models for c in setup.sensors_of(n, columns)})
     filled = backfill(signals.select(setup.key, setup.ts, *needed), needed, [setup.ts], [setup.key], max_rows=setup.max_rows)
