@@ -159,14 +159,14 @@ def _(spark, sf):
 
 @query(
     "p4_component_slice",
-    f"""WITH {SIGNALS_SQL} SELECT Timestamp, Turbine_ID, round(avg(value) FILTER (event_type='click'),6) AS Hyd_click,
-        round(avg(value) FILTER (event_type='signup'),6) AS Gen_signup
+    f"""WITH {SIGNALS_SQL} SELECT Timestamp, Turbine_ID, round(avg(value) FILTER (event_type='click'),8) AS Hyd_click,
+        round(avg(value) FILTER (event_type='signup'),8) AS Gen_signup
         FROM signals GROUP BY ALL""",
 )
 def _(spark, sf):
     s = signals(spark, sf)
     named = {"click": "Hyd_click", "view": "Rtr_view", "signup": "Gen_signup", "purchase": "Volt_purchase"}
-    wide = s.groupBy("Timestamp", "Turbine_ID").pivot("event_type", SENSORS).agg(F.round(F.avg("value"), 6))
+    wide = s.groupBy("Timestamp", "Turbine_ID").pivot("event_type", SENSORS).agg(F.round(F.avg("value"), 8))
     return select.component_slice(select.rename_columns(wide, named), ["Gen", "Hyd"], ["Timestamp", "Turbine_ID"])
 
 

@@ -193,11 +193,11 @@ def _(spark, sf):
 
 @query(
     "a1_group_by_period",
-    f"""WITH {SIGNALS_SQL} SELECT Turbine_ID, Timestamp::DATE::VARCHAR AS Date, round(avg(value), 6) AS value FROM signals GROUP BY ALL""",
+    f"""WITH {SIGNALS_SQL} SELECT Turbine_ID, Timestamp::DATE::VARCHAR AS Date, round(avg(value), 8) AS value FROM signals GROUP BY ALL""",
 )
 def _(spark, sf):
     daily = aggregates.group_by_period(signals(spark, sf).select("Turbine_ID", "Timestamp", "value"), ["Turbine_ID"], "Timestamp")
-    return daily.select("Turbine_ID", F.col("Date").cast("string").alias("Date"), r("value").alias("value"))
+    return daily.select("Turbine_ID", F.col("Date").cast("string").alias("Date"), r("value", 8).alias("value"))
 
 
 @query(
@@ -209,10 +209,10 @@ def _(spark, sf):
     return aggregates.group_by_period(s, ["Turbine_ID"], "Timestamp", "hour", "max")
 
 
-@query("a2_group_mean_exact_ts", f"WITH {SIGNALS_SQL} SELECT Turbine_ID, Timestamp, round(avg(value), 6) AS value FROM signals GROUP BY ALL")
+@query("a2_group_mean_exact_ts", f"WITH {SIGNALS_SQL} SELECT Turbine_ID, Timestamp, round(avg(value), 8) AS value FROM signals GROUP BY ALL")
 def _(spark, sf):
     out = aggregates.group_mean_exact_ts(signals(spark, sf).select("Turbine_ID", "Timestamp", "value"), ["Turbine_ID", "Timestamp"])
-    return out.withColumn("value", r("value"))
+    return out.withColumn("value", r("value", 8))
 
 
 @query("a3_group_count", "SELECT user_id, count(event_id) AS event_id, count(CASE WHEN event_type='error' THEN value END) AS err FROM events GROUP BY user_id")
@@ -360,31 +360,31 @@ def _text_date(df):
 _ROLL = "OVER (PARTITION BY Turbine_ID ORDER BY Date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"
 
 
-@query("w1_rolling_mean", f"WITH {_DAILY_SQL} SELECT Turbine_ID, Date::VARCHAR AS Date, n, round(avg(value) {_ROLL}, 6) AS value_av FROM daily")
+@query("w1_rolling_mean", f"WITH {_DAILY_SQL} SELECT Turbine_ID, Date::VARCHAR AS Date, n, round(avg(value) {_ROLL}, 8) AS value_av FROM daily")
 def _(spark, sf):
     out = windows.rolling_mean(_daily(spark, sf), ["value"], ["Turbine_ID"], ["Date"], 10)
-    return _text_date(out).select("Turbine_ID", "Date", "n", r("value_av").alias("value_av"))
+    return _text_date(out).select("Turbine_ID", "Date", "n", r("value_av", 8).alias("value_av"))
 
 
 @query(
     "w2_rolling_std",
-    f"WITH {_DAILY_SQL} SELECT Turbine_ID, Date::VARCHAR AS Date, n, round(coalesce(stddev_samp(value) {_ROLL}, 0), 6) AS value_sd FROM daily",
+    f"WITH {_DAILY_SQL} SELECT Turbine_ID, Date::VARCHAR AS Date, n, round(coalesce(stddev_samp(value) {_ROLL}, 0), 8) AS value_sd FROM daily",
 )
 def _(spark, sf):
     out = windows.rolling_std(_daily(spark, sf), ["value"], ["Turbine_ID"], ["Date"], 10)
-    return _text_date(out).select("Turbine_ID", "Date", "n", r("value_sd").alias("value_sd"))
+    return _text_date(out).select("Turbine_ID", "Date", "n", r("value_sd", 8).alias("value_sd"))
 
 
 @query(
     "w3_add_features",
     f"""WITH {SIGNALS_SQL}, daily AS (SELECT Turbine_ID, Timestamp::DATE AS Date, {", ".join(f"coalesce(avg(value) FILTER (event_type = '{t}'), 0) AS {t}" for t in SENSORS)}
         FROM signals GROUP BY ALL)
-        SELECT Turbine_ID, Date::VARCHAR AS Date, {", ".join(f"round({t}, 6) AS {t}, round(avg({t}) {_ROLL}, 6) AS {t}_av, round(coalesce(stddev_samp({t}) {_ROLL}, 0), 6) AS {t}_sd" for t in SENSORS)} FROM daily""",
+        SELECT Turbine_ID, Date::VARCHAR AS Date, {", ".join(f"round({t}, 8) AS {t}, round(avg({t}) {_ROLL}, 8) AS {t}_av, round(coalesce(stddev_samp({t}) {_ROLL}, 0), 8) AS {t}_sd" for t in SENSORS)} FROM daily""",
 )
 def _(spark, sf):
     daily = aggregates.group_by_period(wide_signals(spark, sf), ["Turbine_ID"], "Timestamp").na.fill(0)
     out = windows.add_rolling_features(daily, SENSORS, ["Turbine_ID"], ["Date"], 10)
-    return _text_date(out).select("Turbine_ID", "Date", *[r(c).alias(c) for c in out.columns[2:]])
+    return _text_date(out).select("Turbine_ID", "Date", *[r(c, 8).alias(c) for c in out.columns[2:]])
 
 
 @query(
