@@ -42,9 +42,9 @@ def _score_counts(df: DataFrame, y: str, score: str, keys: list[str], max_rows:
     return ordered.running_counts(signed, counts, keys, "_down", max_rows)
 
 
-def _with_totals(counted: DataFrame, keys: list[str]) -> DataFrame:
-    """Class totals of each run; a handful of rows, one per run."""
-    totals = counted.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+def _with_totals(counted: DataFrame, df: DataFrame, y: str, keys: list[str]) -> DataFrame:
+    """Class totals of each run, counted on the rows themselves; one small row per run."""
+    totals = df.groupBy(*keys).agg(F.count_if(F.col(y) == 1).alias("P"), F.count_if(F.col(y) == 0).alias("N"))
     if keys:
         return counted.join(totals, keys)
     row = totals.first()
@@ -94,7 +94,7 @@ def roc_curve(
     direction changes). The point (0, 0) above the highest score is implied and not listed.
     """
     keys = list(keys)
-    counted = _with_totals(_score_counts(df, y, score, keys, max_rows), keys)
+    counted = _with_totals(_score_counts(df, y, score, keys, max_rows), df, y, keys)
     if drop_collinear:
         ahead = lambda c: (lambda w: F.max(c).over(w.rowsBetween(1, 1)))
         behind = lambda c: (lambda w: F.max(c).over(w.rowsBetween(-1, -1)))
@@ -142,7 +142,7 @@ def pr_curve(df: DataFrame, y: str, score: str, keys: list[str] | tuple[str, ...
     The closing point (precision 1, recall 0) is implied and not listed.
     """
     keys = list(keys)
-    counted = _with_totals(_score_counts(df, y, score, keys, max_rows), keys)
+    counted = _with_totals(_score_counts(df, y, score, keys, max_rows), df, y, keys)
     at_or_above = (F.col("cum_pos") + F.col("cum_neg")).cast("double")
     return counted.select(
         *keys,
@@ -195,7 +195,7 @@ def cost_columns(component: str, costs: dict[str, tuple[float, float, float]] =
 
 def savings_rows(
     df: DataFrame, keys: list[str], order: list[str], days: int = 10, by_turbine: str | None = None,
-    y: str = "y_test", pred: str = "y_pred", ttf: str = "TTF", max_rows: int | None = None,
+    y: str = "y_test", pred: str = "y_pred", ttf: str = "TTF", layout: ordered.Layout | None = None, max_rows: int | None = None,
 ) -> DataFrame:
     """Evaluation table: TTF rounded up, the four flags, and ``new_FP``, the false alarms of the last ``days`` rows.
 
@@ -205,7 +205,7 @@ def savings_rows(
     reset = [*keys, by_turbine] if by_turbine else keys
     rest = [c for c in order if c not in reset]
     return ordered.rolling(
-        flagged, {"new_FP": lambda w: F.sum("FP").over(w)}, reset, rest, before=days - 1, max_rows=max_rows
+        flagged, {"new_FP": lambda w: F.sum("FP").over(w)}, reset, rest, before=days - 1, layout=layout, max_rows=max_rows
     )
 
 
@@ -234,9 +234,11 @@ def savings_metric(
     """
     runs = [component, *[k for k in keys if k != component]]
     rest = [c for c in order if c not in runs]
-    rows = savings_rows(df, runs, order, days, by_turbine, y, pred, ttf, max_rows)
+    base, layout = ordered.lay_out(df, runs, rest, max_rows)
+    shared = None if by_turbine else layout
+    rows = savings_rows(base, runs, list(layout.order) if shared else order, days, by_turbine, y, pred, ttf, shared, max_rows)
     tracked = ordered.running_sum(
-        rows, {"_row": F.lit(1).cast("long"), "_alarm": F.col("TP").cast("long")}, runs, rest, max_rows=max_rows
+        rows, {"_row": F.lit(1).cast("long"), "_alarm": F.col("TP").cast("long")}, runs, rest, layout, max_rows
     )
     alarm = F.col("TP") == 1
     firsts = tracked.groupBy(*runs).agg(

@@ -31,11 +31,24 @@ class Layout:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     width: float | None = None
+    low: float | None = None  # smallest and largest number of the first order column, when measured
+    high: float | None = None
 
     @property
     def whole(self) -> bool:
         return self.width is None
 
+    def per_period(self, order: str, micros: int, max_rows: int | None = None) -> Layout | None:
+        """Layout after the rows were reduced to one per (keys, period) by their time.
+
+        A group then has at most as many rows as the measured time span has periods. None when that
+        does not settle it.
+        """
+        if self.low is None or self.order[0] == "_place":
+            return None
+        periods = (self.high - self.low) / micros + 2
+        return Layout(self.keys, (order,)) if periods <= (S.MAX_GROUP_ROWS if max_rows is None else max_rows) else None
+
     @property
     def group(self) -> tuple[str, ...]:
         """What one task scans: a whole group (its partitioning then also serves later
@@ -59,13 +72,12 @@ def _block_of(df: DataFrame, layout: Layout) -> Column:
     return F.coalesce(F.floor(number / F.lit(layout.width)).cast("long"), F.lit(-(2**62)).cast("long"))
 
 
-def lay_out(
+def measure(
     df: DataFrame, keys: list[str] | tuple[str, ...], order: list[str] | tuple[str, ...], max_rows: int | None = None
-) -> tuple[DataFrame, Layout]:
-    """Measure the groups and choose block borders. Returns the frame to scan and its layout.
+) -> Layout | None:
+    """Measure the groups and choose block borders; None when no borders on the first order column bound the blocks.
 
-    The measurement aggregates only the key and order columns. Callers that run several scans
-    over one table pass the returned layout on instead of measuring again.
+    Only the key and order columns are read, and the counts are combined before their shuffle.
     """
     keys, order = tuple(keys), tuple(order)
     limit = S.MAX_GROUP_ROWS if max_rows is None else max_rows
@@ -75,25 +87,40 @@ def lay_out(
     per_key = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi")
     )
-    top = per_key.agg(F.max(F.struct("n", "lo", "hi")).alias("m")).first()["m"]
+    row = per_key.agg(
+        F.max(F.struct("n", "lo", "hi")).alias("top"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    ).first()
+    top, ends = row["top"], (row["lo"], row["hi"]) if cuttable else (None, None)
     if top is None or top["n"] <= limit:
-        return df, Layout(keys, order)
-    if cuttable and top["lo"] is not None and top["hi"] > top["lo"]:
-        width = (top["hi"] - top["lo"]) / -(-top["n"] // limit)
-        for _ in range(4):
-            layout = Layout(keys, order, width)
-            largest = (
-                df.groupBy(*keys, _block_of(df, layout).alias(BLOCK))
-                .agg(F.count(F.lit(1)).alias("n"))
-                .agg(F.max("n").alias("n"))
-                .first()["n"]
-            )
-            if largest <= 2 * limit:
-                return df, layout
-            width /= 2 * -(-largest // limit)
-    # rows bunch up at single order values: number all rows and cut by position instead
+        return Layout(keys, order, None, *ends)
+    if not cuttable or top["lo"] is None or top["hi"] <= top["lo"]:
+        return None
+    width = (top["hi"] - top["lo"]) / -(-top["n"] // limit)
+    for _ in range(4):
+        layout = Layout(keys, order, width, *ends)
+        blocks = df.groupBy(*keys, _block_of(df, layout).alias(BLOCK)).agg(F.count(F.lit(1)).alias("n"))
+        largest = blocks.agg(F.max("n").alias("n")).first()["n"]
+        if largest <= 2 * limit:
+            return layout
+        width /= 2 * -(-largest // limit)
+    return None
+
+
+def lay_out(
+    df: DataFrame, keys: list[str] | tuple[str, ...], order: list[str] | tuple[str, ...], max_rows: int | None = None
+) -> tuple[DataFrame, Layout]:
+    """The frame to scan and its layout.
+
+    Callers that run several scans over one table measure it once and pass the layout on. Where
+    rows bunch up at single order values, or the order starts with text, all rows are numbered
+    first and cut by position.
+    """
+    layout = measure(df, keys, order, max_rows)
+    if layout is not None:
+        return df, layout
+    limit = S.MAX_GROUP_ROWS if max_rows is None else max_rows
     placed = _place_by_range(df, [*keys, *order], "_place", limit)
-    return placed, Layout(keys, ("_place",), float(limit))
+    return placed, Layout(tuple(keys), ("_place",), float(limit))
 
 
 def _place_by_range(df: DataFrame, order: list[str], name: str, limit: int) -> DataFrame:
@@ -290,7 +317,9 @@ def running_counts(
     Rows are pre-aggregated before the scan, so equal values never meet in one task.
     """
     grouped = df.groupBy(*keys, by).agg(*[F.sum(v).alias(name) for name, v in values.items()])
-    return running_sum(grouped, {f"cum_{name}": F.col(name) for name in values}, keys, [by], max_rows=max_rows)
+    # blocks that hold few rows hold few distinct values, so the ungrouped rows are measured first
+    layout = measure(df, keys, [by], max_rows)
+    return running_sum(grouped, {f"cum_{name}": F.col(name) for name in values}, keys, [by], layout, max_rows)
 
 
 def quantiles(
@@ -308,11 +337,10 @@ def quantiles(
         max_rows,
     )
     if keys:
-        totals = counted.groupBy(*keys).agg(F.sum("n").alias("_total"))
+        totals = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
         ranked = counted.join(totals, keys)
     else:
-        total = counted.agg(F.sum("n").alias("t")).first()["t"]
-        ranked = counted.withColumn("_total", F.lit(total))
+        ranked = counted.withColumn("_total", F.lit(present.count()))
     aggregates = []
     for i, p in enumerate(points):
         place = F.lit(float(p)) * (F.col("_total") - 1)

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from windvane.functions.scalar import at_least, case_flag
-from windvane.operators import aggregates, evaluation, labels, models, neighbours, scaling, splits, windows
+from windvane.operators import aggregates, evaluation, labels, models, neighbours, ordered, scaling, windows
 from windvane.plans import turbines
 from windvane.plans.registry import (
     COMPONENTS, FAILURES_SQL, SENSORS, SIGNALS_SQL, failures, load, query, r, signals, wide_signals,
@@ -42,7 +41,8 @@ _ROLL = "OVER (PARTITION BY component, Turbine_ID ORDER BY Date ROWS BETWEEN 9 P
 def _(spark, sf):
     setup = turbines.Setup(sensors={n: ["value"] for n in turbines.LOG_COMPONENTS}, horizon=5, training_turbines=None)
     s = signals(spark, sf).select("Timestamp", "Turbine_ID", "value")
-    daily = turbines.daily_labelled(s, failures(spark, sf), setup)
+    layout = turbines.measured(s, failures(spark, sf), setup)
+    daily = turbines.daily_labelled(s, failures(spark, sf), setup, layout)
     # the five component tables as rows of one, so that they share a single window
     structs = [
         F.struct(F.lit(name).alias("component"), *[F.col(f"{n}__{c}").alias(c) for c in ("TTF", "label", "failure", "value")])
@@ -50,7 +50,9 @@ def _(spark, sf):
     ]
     long = daily.select("Turbine_ID", "Date", F.explode(F.array(*structs)).alias("s")).select("Turbine_ID", "Date", "s.*")
     own = long.filter(F.col("TTF").isNotNull())
-    out = windows.add_rolling_features(own, ["value"], ["component", "Turbine_ID"], ["Date"], 10)
+    days = turbines.daily_layout(layout, setup)
+    groups = ordered.Layout(("component", *days.keys), days.order) if days else None
+    out = windows.add_rolling_features(own, ["value"], ["component", "Turbine_ID"], ["Date"], 10, groups)
     numbers = ["TTF", "label", "failure", "value", "value_av", "value_sd"]
     return out.select("component", "Turbine_ID", F.col("Date").cast("string").alias("Date"), *[r(c, 8).alias(c) for c in numbers])
 
@@ -388,7 +390,7 @@ def _(spark, sf):
 @query(
     "r2_stream_period_mean",
     """SELECT user_id, date_trunc('day', ts) AS Date, round(avg(value), 8) AS value FROM events
-       GROUP BY ALL HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+       GROUP BY user_id, date_trunc('day', ts) HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
 )
 def _(spark, sf):
     schema = load(spark, sf, "events").schema

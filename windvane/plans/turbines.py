@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windvane.functions.scalar import case_flag
-from windvane.functions.time import days_between, floor_hour
+from windvane.functions.time import MICROS_PER_DAY, days_between, floor_hour
 from windvane.operators import evaluation, models, ordered, scaling
 from windvane.operators.aggregates import group_by_period
 from windvane.operators.joins import join_outer_rare
@@ -117,7 +117,21 @@ class Setup:
         return [*sensors, *[f"{c}_av" for c in sensors], *[f"{c}_sd" for c in sensors]]
 
 
-def daily_labelled(signals: DataFrame, failures: DataFrame, setup: Setup) -> DataFrame:
+def measured(signals: DataFrame, failures: DataFrame, setup: Setup) -> ordered.Layout | None:
+    """Size of the turbines' histories, taken once from keys and times and used by every later scan."""
+    both = signals.select(setup.key, setup.ts).unionByName(failures.select(setup.key, setup.ts))
+    return ordered.measure(both, [setup.key], [setup.ts], setup.max_rows)
+
+
+def daily_layout(layout: ordered.Layout | None, setup: Setup) -> ordered.Layout | None:
+    """Layout of the daily (or hourly) rows."""
+    step = MICROS_PER_DAY if setup.period == "day" else MICROS_PER_DAY // 24
+    return layout.per_period("Date", step, setup.max_rows) if layout else None
+
+
+def daily_labelled(
+    signals: DataFrame, failures: DataFrame, setup: Setup, layout: ordered.Layout | None = None
+) -> DataFrame:
     """One row per turbine and day: per component the averaged sensors, TTF, label and failure flag.
 
     Columns are named ``<component>__<column>``. A (turbine, day) on which a component has no row
@@ -136,7 +150,7 @@ def daily_labelled(signals: DataFrame, failures: DataFrame, setup: Setup) -> Dat
     left = signals.select(key, ts, *[F.col(f"`{c}`") for c in needed]).withColumn("_signal", F.lit(1))
     joined = join_outer_rare(left, flags, [key, ts]).na.fill(0, subset=["_signal", *[f"_fail_{n}" for n in names], *needed])
     dated = ordered.known(
-        joined, {f"_next_{n}": F.when(F.col(f"_fail_{n}") == 1, F.col(ts)) for n in names}, [key], [ts], "next", max_rows=setup.max_rows
+        joined, {f"_next_{n}": F.when(F.col(f"_fail_{n}") == 1, F.col(ts)) for n in names}, [key], [ts], "next", layout, setup.max_rows
     )
     at = F.to_date(ts) if setup.period == "day" else floor_hour(ts)
     parts = []
@@ -153,18 +167,18 @@ def daily_labelled(signals: DataFrame, failures: DataFrame, setup: Setup) -> Dat
     return dated.groupBy(key, at.alias("Date")).agg(*parts)
 
 
-def component_table(daily: DataFrame, component: str, setup: Setup) -> DataFrame:
+def component_table(daily: DataFrame, component: str, setup: Setup, layout: ordered.Layout | None = None) -> DataFrame:
     """Feature table of one component: turbine, day, TTF, label, failure flag, sensors, means, deviations."""
     prefix = f"{component}__"
     own = daily.select(
         setup.key, "Date", *[F.col(f"`{c}`").alias(c[len(prefix):]) for c in daily.columns if c.startswith(prefix)]
     ).filter(F.col("TTF").isNotNull())
     sensors = [c for c in own.columns if c not in (setup.key, "Date", "TTF", "label", "failure")]
-    return rolling_table(own, sensors, setup)
+    return rolling_table(own, sensors, setup, layout)
 
 
-def rolling_table(daily: DataFrame, sensors: list[str], setup: Setup) -> DataFrame:
-    return add_rolling_features(daily, sensors, [setup.key], ["Date"], setup.window, max_rows=setup.max_rows)
+def rolling_table(daily: DataFrame, sensors: list[str], setup: Setup, layout: ordered.Layout | None = None) -> DataFrame:
+    return add_rolling_features(daily, sensors, [setup.key], ["Date"], setup.window, layout, setup.max_rows)
 
 
 def split_table(table: DataFrame, component: str, setup: Setup) -> tuple[DataFrame, DataFrame]:
@@ -190,10 +204,11 @@ class Trained:
 
 def train(signals: DataFrame, failures: DataFrame, setup: Setup) -> Trained:
     """The whole training run: prepare, split, scale, fit, predict and value the predictions."""
-    daily = cut_lineage(daily_labelled(signals, failures, setup))  # read once per component below
+    layout = measured(signals, failures, setup)
+    daily = cut_lineage(daily_labelled(signals, failures, setup, layout))  # read once per component below
     fitted, scalers, tables = {}, {}, []
     for component in setup.components:
-        table = component_table(daily, component, setup)
+        table = component_table(daily, component, setup, daily_layout(layout, setup))
         features = [c for c in table.columns if c not in (setup.key, "Date", "TTF", "label", "failure")]
         train_rows, test_rows = split_table(table, component, setup)
         stats = scaling.fit_scaler(train_rows, features)
@@ -225,9 +240,11 @@ def score(signals: DataFrame, trained_models: dict, scalers: dict, setup: Setup)
     """Predictions of all components for new signals: daily mean, rolling features, stored scaler, stored model."""
     columns = [c for c in signals.columns if c not in (setup.key, setup.ts)]
     needed = sorted({c for n in trained_models for c in setup.sensors_of(n, columns)})
-    filled = backfill(signals.select(setup.key, setup.ts, *needed), needed, [setup.ts], [setup.key], max_rows=setup.max_rows)
+    chosen = signals.select(setup.key, setup.ts, *needed)
+    layout = ordered.measure(chosen, [setup.key], [setup.ts], setup.max_rows)
+    filled = backfill(chosen, needed, [setup.ts], [setup.key], layout, setup.max_rows)
     daily = group_by_period(filled, [setup.key], setup.ts, setup.period, cols=needed)
-    table = rolling_table(daily, needed, setup)
+    table = rolling_table(daily, needed, setup, daily_layout(layout, setup))
     scaled = {}
     for n, model in trained_models.items():
         own = table.select(setup.key, "Date", *[F.col(f"`{c}`") for c in model.features])
