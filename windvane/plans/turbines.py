@@ -1,9 +1,11 @@
 """From signals and failures to trained, evaluated and scoring-ready models of all components.
 
-Preparation handles every component in one pass: the failures become one flag per component, one
-ordered scan finds every component's next failure, one aggregate makes the daily rows and one
-window the rolling features. A failure row without signals belongs to its own component only, so
-each component's averages equal those of a separate run.
+Preparation handles every component in one pass: the failures become one flag per component, the
+next failure of every component is looked up beside each row (or found by one ordered scan, when
+failures are many), one aggregate makes the daily rows and one window the rolling features. With few
+failures the raw signals are never shuffled: only their daily partial averages are. A failure row
+without signals belongs to its own component only, so each component's averages equal those of a
+separate run.
 """
 
 from __future__ import annotations
@@ -21,7 +23,10 @@ from windvane.operators.joins import join_outer_rare
 from windvane.operators.nulls import backfill
 from windvane.operators.splits import split_by_months
 from windvane.operators.windows import add_rolling_features
-from windvane.session import cut_lineage
+from windvane.session import MAX_BROADCAST_BYTES, cut_lineage
+
+# Failures per turbine that are looked up in a list beside each row; more are found by an ordered scan.
+MAX_LISTED = 64
 
 # Name parts of the columns each component uses, in order.
 PARTS = {
@@ -129,6 +134,14 @@ def daily_layout(layout: ordered.Layout | None, setup: Setup) -> ordered.Layout
     return layout.per_period("Date", step, setup.max_rows) if layout else None
 
 
+def _few_failures(failures: DataFrame, key: str) -> bool:
+    """Whether each turbine's failures fit a short list and all lists together a broadcast."""
+    per = failures.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    row = per.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("turbines"), F.sum("n").alias("all")).first()
+    # a list entry takes 8 bytes, a turbine's row with its five lists less than 300
+    return (row["most"] or 0) <= MAX_LISTED and 300 * row["turbines"] + 8 * (row["all"] or 0) <= MAX_BROADCAST_BYTES
+
+
 def daily_labelled(
     signals: DataFrame, failures: DataFrame, setup: Setup, layout: ordered.Layout | None = None
 ) -> DataFrame:
@@ -144,14 +157,21 @@ def daily_labelled(
     names = list(setup.components)
     columns = [c for c in signals.columns if c not in (key, ts)]
     needed = sorted({c for n in names for c in setup.sensors_of(n, columns)})
-    flags = failures.groupBy(key, ts).agg(
-        *[F.max(case_flag(F.col(setup.component_col) == F.lit(setup.components[n]))).alias(f"_fail_{n}") for n in names]
-    )
+    of_component = {n: F.col(setup.component_col) == F.lit(setup.components[n]) for n in names}
+    flags = failures.groupBy(key, ts).agg(*[F.max(case_flag(of_component[n])).alias(f"_fail_{n}") for n in names])
     left = signals.select(key, ts, *[F.col(f"`{c}`") for c in needed]).withColumn("_signal", F.lit(1))
     joined = join_outer_rare(left, flags, [key, ts]).na.fill(0, subset=["_signal", *[f"_fail_{n}" for n in names], *needed])
-    dated = ordered.known(
-        joined, {f"_next_{n}": F.when(F.col(f"_fail_{n}") == 1, F.col(ts)) for n in names}, [key], [ts], "next", layout, setup.max_rows
-    )
+    if _few_failures(failures, key):
+        # every turbine's short failure list goes to the rows: the raw signals are not shuffled at all
+        lists = failures.groupBy(key).agg(
+            *[F.array_sort(F.collect_set(F.when(of_component[n], F.col(ts)))).alias(f"_all_{n}") for n in names]
+        )
+        listed = joined.join(F.broadcast(lists), key, "left")
+        ahead = lambda n: F.get(F.filter(F.col(f"_all_{n}"), lambda at: at >= F.col(ts)), F.lit(0))
+        dated = listed.withColumns({f"_next_{n}": ahead(n) for n in names})
+    else:
+        values = {f"_next_{n}": F.when(F.col(f"_fail_{n}") == 1, F.col(ts)) for n in names}
+        dated = ordered.known(joined, values, [key], [ts], "next", layout, setup.max_rows)
     at = F.to_date(ts) if setup.period == "day" else floor_hour(ts)
     parts = []
     for n in names:
