@@ -10,7 +10,7 @@ from windvane.session import session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    spark = session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"})
+    spark = session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "3", "spark.driver.memory": "6g"})
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
     spark.stop()
