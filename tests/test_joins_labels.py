@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from windvane import session as S
 from windvane.operators import joins, labels, scaling, splits, windows
-from windvane.operators.aggregates import class_balance, describe, histogram
+from windvane.operators.aggregates import class_balance, correlation_matrix, describe, histogram
 
 DAY = dt.datetime(2020, 1, 1)
 
@@ -205,3 +205,16 @@ def test_summaries(spark):
     np.testing.assert_allclose(got["low"], edges[:-1])
     balance = {r["y"]: r["weight"] for r in class_balance(spark.createDataFrame([(0,)] * 3 + [(1,)], "y int"), "y").collect()}
     assert balance == {0: 4 / 6, 1: 2.0}
+
+
+def test_wide_correlation(spark):
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(400, 18)) + 1000
+    x[:, 3] = 2 * x[:, 1] - 7
+    x[rnd.random(x.shape) < 0.1] = np.nan
+    x[:, 17] = 4.0
+    pdf = pd.DataFrame(x, columns=[f"s{i}" for i in range(18)])
+    df = spark.createDataFrame(pdf).repartition(3)
+    got = correlation_matrix(df, list(pdf.columns)).toPandas().pivot(index="a", columns="b", values="corr")
+    want = pdf.corr().loc[got.index, got.columns]
+    np.testing.assert_allclose(got.to_numpy(dtype=float), want.to_numpy(), atol=1e-9)

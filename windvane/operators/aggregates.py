@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,12 +118,21 @@ def describe(df: DataFrame, cols: list[str], exact: bool = False) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every column pair (long form), from one pass over the rows.
+    """Pearson correlation of every column pair (long form), over the rows where both values are present.
 
-    Each pair uses the rows where both values are present.
+    A few columns are one aggregate. Many columns would need thousands of them, so each task adds up
+    the product sums of all pairs as matrices and only those sums are shuffled.
     """
+    return _pairwise(df, cols) if len(cols) <= 16 else _product_sums(df, cols)
+
+
+def _present_number(name: str) -> Column:
+    return F.nanvl(F.col(f"`{name}`").cast("double"), F.lit(None).cast("double"))
+
+
+def _pairwise(df: DataFrame, cols: list[str]) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    num = lambda c: F.col(f"`{c}`").cast("double")
+    num = _present_number
     parts = [
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(num(a), num(b)).alias("corr")).alias(f"p{i}")
         for i, (a, b) in enumerate(pairs)
@@ -129,6 +142,38 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return long.unionByName(mirrored)
 
 
+def _product_sums(df: DataFrame, cols: list[str]) -> DataFrame:
+    num = [_present_number(c).alias(f"c{i}") for i, c in enumerate(cols)]
+    means = df.agg(*[F.avg(c) for c in num]).first()  # one number per column; sums around it keep their digits
+    shift = np.array([0.0 if m is None else m for m in means])
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((4, len(cols), len(cols)))
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=np.float64) - shift
+            there = ~np.isnan(x)
+            x, m = np.where(there, x, 0.0), there.astype(np.float64)
+            sums += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        i, j = np.indices(sums.shape[1:])
+        n, s, ss, p = (v.ravel() for v in sums)
+        mirror = lambda v: v.reshape(sums.shape[1:]).T.ravel()
+        yield pd.DataFrame(
+            {"i": i.ravel(), "j": j.ravel(), "n": n, "sx": s, "sy": mirror(s), "sxx": ss, "syy": mirror(ss), "sxy": p}
+        )
+
+    partial = df.select(*num).mapInPandas(
+        add_up, "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double"
+    )
+    total = partial.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n = F.col("n")
+    spread = lambda s, ss: F.col(ss) - F.try_divide(F.col(s) * F.col(s), n)
+    together = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
+    corr = F.try_divide(together, F.sqrt(F.greatest(spread("sx", "sxx"), F.lit(0.0)) * F.greatest(spread("sy", "syy"), F.lit(0.0))))
+    names = F.array(*[F.lit(c) for c in cols])
+    at = lambda i: F.get(names, F.col(i).cast("int"))
+    return total.select(at("i").alias("a"), at("j").alias("b"), corr.alias("corr"))
+
+
 def min_max(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.min(col).alias("min"), F.max(col).alias("max"))
 

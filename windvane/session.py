@@ -61,25 +61,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of the in-memory size, from one aggregate over the frame."""
-    fixed, parts = 0, []
+def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True when the frame was measured below the broadcast bound.
+
+    The row count, which reads no columns beyond those of the filters, settles most large frames;
+    only a frame with few rows has its texts and nested values measured too.
+    """
+    bound = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    per_row = 16 * (len(df.columns) + 1)
+    fixed = df.count() * per_row
+    if fixed > bound:
+        return False
+    parts = []
     for field in df.schema.fields:
+        col = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.StringType):
-            parts.append(F.octet_length(F.col(f"`{field.name}`")))
+            parts.append(F.octet_length(col))
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            parts.append(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))))
-        fixed += 16
-    text = F.lit(0)
-    for part in parts:
-        text = text + F.coalesce(part, F.lit(0))
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(text).alias("b")).first()
-    return int(row["n"]) * (fixed + 16) + int(row["b"] or 0)
-
-
-def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """True when the frame was measured below the broadcast bound."""
-    return measured_bytes(df) <= (MAX_BROADCAST_BYTES if max_bytes is None else max_bytes)
+            parts.append(F.octet_length(F.to_json(F.struct(col))))
+    if not parts:
+        return True
+    varying = df.agg(*[F.sum(p).alias(f"b{i}") for i, p in enumerate(parts)]).first()
+    return fixed + sum(v or 0 for v in varying) <= bound
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
