@@ -85,3 +85,20 @@ def test_quantiles_match_pandas(skewed):
         by = {r["k"]: r["quantiles"] for r in ordered.quantiles(skewed, "v", points, ["k"], limit).collect()}
         for k, part in pdf.groupby("k"):
             assert by[k] == pytest.approx(part["v"].quantile(points).tolist())
+
+
+def test_missing_keys_form_a_group(spark, rows):
+    df = spark.createDataFrame([(None if i % 2 else "a", i, i if i % 5 == 0 else None) for i in range(80)], "k string, i int, v int")
+    for call in (
+        lambda limit: ordered.known(df, {"x": F.col("v")}, ["k"], ["i"], max_rows=limit),
+        lambda limit: ordered.running_sum(df, {"x": F.col("v")}, ["k"], ["i"], max_rows=limit),
+        lambda limit: ordered.rolling(df, {"x": lambda w: F.sum("i").over(w)}, ["k"], ["i"], 3, max_rows=limit),
+    ):
+        assert rows(call(None), "i", "x") == rows(call(7), "i", "x")
+
+
+def test_large_side_is_shuffled_once(skewed):
+    got = ordered.known(skewed, {"x": F.col("v")}, ["k"], ["id"], max_rows=20)
+    plan = got._jdf.queryExecution().toString()
+    wide = [line for line in plan.split("== Physical Plan ==")[1].splitlines() if "Exchange hashpartitioning(k" in line]
+    assert len(wide) <= 4  # one for the rows, three for the small summary

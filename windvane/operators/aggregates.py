@@ -171,7 +171,8 @@ def _product_sums(df: DataFrame, cols: list[str]) -> DataFrame:
     corr = F.try_divide(together, F.sqrt(F.greatest(spread("sx", "sxx"), F.lit(0.0)) * F.greatest(spread("sy", "syy"), F.lit(0.0))))
     names = F.array(*[F.lit(c) for c in cols])
     at = lambda i: F.get(names, F.col(i).cast("int"))
-    return total.select(at("i").alias("a"), at("j").alias("b"), corr.alias("corr"))
+    clipped = F.when(corr.isNotNull(), F.greatest(F.least(corr, F.lit(1.0)), F.lit(-1.0)))
+    return total.select(at("i").alias("a"), at("j").alias("b"), clipped.alias("corr"))
 
 
 def min_max(df: DataFrame, col: str) -> DataFrame:

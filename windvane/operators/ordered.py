@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ class Layout:
     width: float | None = None
     low: float | None = None  # smallest and largest number of the first order column, when measured
     high: float | None = None
+    null_keys: bool = False  # some group has a missing key
 
     @property
     def whole(self) -> bool:
@@ -88,9 +90,10 @@ def measure(
         F.count(F.lit(1)).alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi")
     )
     row = per_key.agg(
-        F.max(F.struct("n", "lo", "hi")).alias("top"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+        F.max(F.struct("n", "lo", "hi")).alias("top"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.max(reduce(Column.__or__, [F.col(f"`{k}`").isNull() for k in keys], F.lit(False))).alias("nulls"),
     ).first()
-    top, ends = row["top"], (row["lo"], row["hi"]) if cuttable else (None, None)
+    top, ends = row["top"], (*((row["lo"], row["hi"]) if cuttable else (None, None)), bool(row["nulls"]))
     if top is None or top["n"] <= limit:
         return Layout(keys, order, None, *ends)
     if not cuttable or top["lo"] is None or top["hi"] <= top["lo"]:
@@ -120,7 +123,7 @@ def lay_out(
         return df, layout
     limit = S.MAX_GROUP_ROWS if max_rows is None else max_rows
     placed = _place_by_range(df, [*keys, *order], "_place", limit)
-    return placed, Layout(tuple(keys), ("_place",), float(limit))
+    return placed, Layout(tuple(keys), ("_place",), float(limit), null_keys=bool(keys))
 
 
 def _place_by_range(df: DataFrame, order: list[str], name: str, limit: int) -> DataFrame:
@@ -164,21 +167,29 @@ def _prepare(df, keys, order, layout, max_rows):
     return df, layout
 
 
-def _drop_place(df: DataFrame, layout: Layout) -> DataFrame:
-    return df.drop("_place") if layout.order == ("_place",) else df
+def _join_carry(local: DataFrame, carry: DataFrame, layout: Layout) -> DataFrame:
+    """Attach per-block state.
 
-
-def _join_carry(local: DataFrame, carry: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Attach per-block state; the large side is already partitioned by (keys, block)."""
-    on = [F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys] + [F.col(f"l.{BLOCK}") == F.col(f"c.{BLOCK}")]
-    condition = on[0]
-    for extra in on[1:]:
-        condition = condition & extra
-    joined = local.alias("l").join(carry.alias("c"), condition, "left")
-    carried = [c for c in carry.columns if c not in keys and c != BLOCK]
+    The large side is already partitioned by (keys, block), and plain equality keeps it where it is.
+    Only when a key is missing somewhere does the comparison have to be null-safe.
+    """
+    same = Column.eqNullSafe if layout.null_keys else Column.__eq__
+    on = [same(F.col(f"l.{k}"), F.col(f"c.{k}")) for k in layout.keys] + [F.col(f"l.{BLOCK}") == F.col(f"c.{BLOCK}")]
+    joined = local.alias("l").join(carry.alias("c"), reduce(Column.__and__, on), "left")
+    carried = [c for c in carry.columns if c not in layout.keys and c != BLOCK]
     return joined.select("l.*", *[F.col(f"c.{c}") for c in carried])
 
 
+def _end(value: Column, order: tuple[str, ...], direction: str) -> Column:
+    """First (or last) present value of a block. One order column of plain type aggregates in a hash table."""
+    if len(order) == 1:
+        at = F.when(value.isNotNull(), F.col(f"`{order[0]}`"))
+        return F.min_by(value, at) if direction == "next" else F.max_by(value, at)
+    place = F.struct(*[F.col(f"`{c}`") for c in order])
+    pick = F.min if direction == "next" else F.max
+    return pick(F.when(value.isNotNull(), F.struct(place.alias("p"), value.alias("v")))).getField("v")
+
+
 def known(
     df: DataFrame,
     values: dict[str, Column],
@@ -205,21 +216,14 @@ def known(
         {name: F.last(r, ignorenulls=True).over(within) for name, r in zip(values, raw)}
     )
     if not layout.whole:
-        place = F.struct(*[F.col(f"`{c}`") for c in layout.order])
-        pick = F.min if direction == "next" else F.max
-        ends = df.groupBy(*layout.keys, BLOCK).agg(
-            *[
-                pick(F.when(F.col(r).isNotNull(), F.struct(place.alias("p"), F.col(r).alias("v")))).getField("v").alias(r)
-                for r in raw
-            ]
-        )
+        ends = df.groupBy(*layout.keys, BLOCK).agg(*[_end(F.col(r), layout.order, direction).alias(r) for r in raw])
         earlier = (
             Window.partitionBy(*layout.keys).orderBy(turn(BLOCK)).rowsBetween(Window.unboundedPreceding, -1)
         )
         carry = ends.select(
             *layout.keys, BLOCK, *[F.last(r, ignorenulls=True).over(earlier).alias(f"_carry{r}") for r in raw]
         )
-        local = _join_carry(local, carry, layout.keys).withColumns(
+        local = _join_carry(local, carry, layout).withColumns(
             {name: F.coalesce(F.col(name), F.col(f"_carry{r}")) for name, r in zip(values, raw)}
         )
     out = [c for c in before_columns if c not in values]
@@ -245,7 +249,7 @@ def running_sum(
         totals = df.groupBy(*layout.keys, BLOCK).agg(*[F.sum(r).alias(r) for r in raw])
         earlier = Window.partitionBy(*layout.keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
         carry = totals.select(*layout.keys, BLOCK, *[F.sum(r).over(earlier).alias(f"_carry{r}") for r in raw])
-        local = _join_carry(local, carry, layout.keys).withColumns(
+        local = _join_carry(local, carry, layout).withColumns(
             {
                 # a block whose values are all null adds nothing, but keeps an earlier sum alive
                 name: F.when(
