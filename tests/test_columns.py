@@ -166,6 +166,8 @@ def test_table_names():
 def test_ingest(spark, tmp_path):
     (tmp_path / "s.csv").write_text(
         "Turbine_ID;Timestamp;a\nT01;2016-01-01T00:03:00+00:00;\nT01;2016-01-01T00:17:00+00:00;4.5\nT02;2016-01-01T02:00:00+02:00;\n")
-    df = files.ingest_signals(spark, str(tmp_path / "s.csv"), "Turbine_ID string, Timestamp string, a double")
+    schema = files.header_schema(spark, str(tmp_path / "s.csv"))
+    assert schema.simpleString() == "struct<Turbine_ID:string,Timestamp:string,a:double>"
+    df = files.ingest_signals(spark, str(tmp_path / "s.csv"), schema)
     got = [(r["Turbine_ID"], str(r["Timestamp"]), r["a"]) for r in df.orderBy("Turbine_ID", "Timestamp").collect()]
     assert got == [("T01", "2016-01-01 00:00:00", 4.5), ("T01", "2016-01-01 00:10:00", 4.5), ("T02", "2016-01-01 00:00:00", None)]

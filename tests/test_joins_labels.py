@@ -218,3 +218,11 @@ def test_wide_correlation(spark):
     got = correlation_matrix(df, list(pdf.columns)).toPandas().pivot(index="a", columns="b", values="corr")
     want = pdf.corr().loc[got.index, got.columns]
     np.testing.assert_allclose(got.to_numpy(dtype=float), want.to_numpy(), atol=1e-9)
+
+
+def test_remarks(spark):
+    logs = spark.createDataFrame([(at(0), "T1", "Generator 1 in", "x"), (at(1), "T1", "other", "x"), (at(0), "T1", "Generator 1 in", "x")],
+                                 "Timestamp timestamp_ntz, Turbine_ID string, Remark string, z string")
+    out = labels.one_hot_remarks(logs)
+    assert out.count() == 2 and len(out.columns) == 2 + 15
+    assert [r["Remark_Generator 1 in"] for r in out.collect()] == [1, 1]

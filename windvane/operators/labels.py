@@ -12,6 +12,26 @@ from windvane.operators.ordered import Layout
 from windvane.session import broadcast_if_small
 
 
+# The event-log remarks that become features.
+REMARKS = [
+    "External power ref.:2000kW",
+    "Generator 1 in",
+    "Hot HV trafo 270°C      0kW",
+    "Yaw Speed Exc:  0° Rate:10sec",
+    "GearoilCooler 2, gear:  57°C",
+    "GearoilCooler 1, gear:  49°C",
+    "Gen. int. vent. 1, temp: 50°C",
+    "Gen. ext. vent. 1, temp: 50°C",
+    "Gen. int. vent. 0, temp: 34°C",
+    "Gen. ext. vent. 0, temp: 34°C",
+    "Gen. ext. vent. 2, temp: 65°C",
+    "Gen. ext. vent. 1, temp: 49°C",
+    "Yawcontr. from:30010 to:30011",
+    "Yawcontr. from:30011 to:30010",
+    "Accumulator test done -> OK",
+]
+
+
 def next_failure_date(
     df: DataFrame, flag: str, key: str, ts: str, name: str = "date", entities: list | None = None,
     layout: Layout | None = None, max_rows: int | None = None,
@@ -105,3 +125,9 @@ def one_hot(df: DataFrame, col: str, values: list, keep: list | None = None, onl
         *[F.col(f"`{c}`") for c in df.columns if c != col],
         *[case_flag(F.col(col) == F.lit(v)).alias(f"{col}_{v}") for v in wanted],
     )
+
+
+def one_hot_remarks(logs: DataFrame, keys: list[str] | None = None, remark: str = "Remark") -> DataFrame:
+    """Keys and one 0/1 column per listed remark; rows with other remarks are left out, doubles stay."""
+    keys = keys or ["Timestamp", "Turbine_ID"]
+    return one_hot(logs.select(*keys, remark), remark, REMARKS, only_listed=True)

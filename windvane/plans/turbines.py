@@ -10,9 +10,11 @@ separate run.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windvane.functions.scalar import case_flag
@@ -108,6 +110,7 @@ class Setup:
     alarm_days: int = 20
     costs: dict = field(default_factory=lambda: dict(evaluation.COSTS))
     models: dict | None = None
+    threads: int = 3
     max_rows: int | None = None
 
     def sensors_of(self, component: str, columns: list[str]) -> list[str]:
@@ -226,29 +229,27 @@ def train(signals: DataFrame, failures: DataFrame, setup: Setup) -> Trained:
     """The whole training run: prepare, split, scale, fit, predict and value the predictions."""
     layout = measured(signals, failures, setup)
     daily = cut_lineage(daily_labelled(signals, failures, setup, layout))  # read once per component below
-    fitted, scalers, tables = {}, {}, []
-    for component in setup.components:
+
+    def run(component: str):
         table = component_table(daily, component, setup, daily_layout(layout, setup))
         features = [c for c in table.columns if c not in (setup.key, "Date", "TTF", "label", "failure")]
         train_rows, test_rows = split_table(table, component, setup)
         stats = scaling.fit_scaler(train_rows, features)
-        scalers[component] = stats
         scaled = scaling.apply_scaler(train_rows, stats, features)
         model = models.fit_component_model(scaled, component, features, "label", [setup.key, "Date"], setup.models)
-        fitted[component] = model
-        test = scaling.apply_scaler(test_rows, stats, features)
-        found = model.predict(test, [setup.key, "Date"])
+        found = model.predict(scaling.apply_scaler(test_rows, stats, features), [setup.key, "Date"])
         truth = test_rows.select(setup.key, "Date", "TTF", F.col("label").alias("y_test"))
-        tables.append(
-            truth.join(found, [setup.key, "Date"]).select(
-                F.lit(component).alias("component"), setup.key, "Date", "TTF", "y_test",
-                F.col("prediction").alias("y_pred"), "score",
-            )
+        rated = truth.join(found, [setup.key, "Date"]).select(
+            F.lit(component).alias("component"), setup.key, "Date", "TTF", "y_test", F.col("prediction").alias("y_pred"), "score"
         )
-    predictions = tables[0]
-    for t in tables[1:]:
-        predictions = predictions.unionByName(t)
-    predictions = cut_lineage(predictions)
+        return model, stats, cut_lineage(rated)
+
+    # components are independent: their jobs are submitted side by side
+    with ThreadPoolExecutor(max_workers=setup.threads) as pool:
+        done = dict(zip(setup.components, pool.map(run, setup.components)))
+    fitted = {c: d[0] for c, d in done.items()}
+    scalers = {c: d[1] for c, d in done.items()}
+    predictions = reduce(DataFrame.unionByName, [d[2] for d in done.values()])
     savings = evaluation.savings_metric(
         predictions, "component", [setup.key, "Date"], days=setup.alarm_days, costs=setup.costs, max_rows=setup.max_rows
     )
@@ -256,6 +257,19 @@ def train(signals: DataFrame, failures: DataFrame, setup: Setup) -> Trained:
     return Trained(fitted, scalers, predictions, savings, metrics)
 
 
+def save_run(run: Trained, path: str, spark: SparkSession) -> None:
+    """Store every component's model and scaler."""
+    for component, model in run.models.items():
+        models.save_model(model, f"{path}/{component}/classifier", spark)
+        run.scalers[component].write.mode("overwrite").parquet(f"{path}/{component}/scaler")
+
+
+def load_run(path: str, components: list[str], spark: SparkSession) -> tuple[dict, dict]:
+    """Models and scalers as :func:`score` takes them."""
+    fitted = {c: models.load_model(f"{path}/{c}/classifier", spark) for c in components}
+    return fitted, {c: spark.read.parquet(f"{path}/{c}/scaler") for c in components}
+
+
 def score(signals: DataFrame, trained_models: dict, scalers: dict, setup: Setup) -> DataFrame:
     """Predictions of all components for new signals: daily mean, rolling features, stored scaler, stored model."""
     columns = [c for c in signals.columns if c not in (setup.key, setup.ts)]
