@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from windvane.functions.time import MICROS_PER_DAY, MICROS_PER_MINUTE, days_between, from_micros, micros
-from windvane.operators.ordered import known
+from windvane.operators.ordered import known, lay_out
 from windvane.session import broadcast_if_small, is_small
 
 
@@ -66,25 +66,25 @@ def join_renamed(
     return left.join(broadcast_if_small(right), condition, how).drop(*keyed.values())
 
 
-def _asof_one_way(left, right, ts, right_ts, by, carried, direction, max_rows):
-    backward = direction == "backward"
+def _asof_scan(left, right, ts, right_ts, by, carried, direction, max_rows):
+    """Left rows with the packed right row before (``_backward``) and/or after them (``_forward``)."""
+    # at equal times the right row must lie on the side that is looked at; for "nearest" the row before
+    # wins such a tie anyway, so one order serves both scans
+    side_left, side_right = (0, 1) if direction == "forward" else (1, 0)
     packed = F.struct(F.col(right_ts).alias("_at"), *[F.col(f"`{c}`").alias(c) for c in carried])
-    side_left, side_right = (1, 0) if backward else (0, 1)
-    row_types = {f.name: f.dataType for f in left.schema.fields}
-    lefts = left.withColumns({"_side": F.lit(side_left), "_tie": F.lit(0).cast("long"), "_found": F.lit(None).cast(right.select(packed.alias("x")).schema["x"].dataType)})
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in carried]) if carried else F.lit(0).cast("long")
     rights = right.filter(F.col(right_ts).isNotNull()).select(
-        *[F.col(f"`{b}`") for b in by],
-        F.col(right_ts).alias(ts),
-        F.lit(side_right).alias("_side"),
-        F.xxhash64(*[F.col(f"`{c}`") for c in carried]).alias("_tie") if carried else F.lit(0).cast("long").alias("_tie"),
-        packed.alias("_found"),
+        *[F.col(f"`{b}`") for b in by], F.col(right_ts).alias(ts), F.lit(side_right).alias("_side"), tie.alias("_tie"), packed.alias("_found")
     )
-    both = lefts.unionByName(rights, allowMissingColumns=True)
-    scanned = known(
-        both, {"_found": F.col("_found")}, by, [ts, "_side", "_tie"], "previous" if backward else "next", max_rows=max_rows
-    )
-    out = scanned.filter(F.col("_side") == side_left).select(*[F.col(f"`{c}`") for c in row_types], "_found")
-    return out
+    nothing = F.lit(None).cast(rights.schema["_found"].dataType)
+    lefts = left.withColumns({"_side": F.lit(side_left), "_tie": F.lit(0).cast("long"), "_found": nothing})
+    order = [ts, "_side", "_tie"]
+    both, layout = lay_out(lefts.unionByName(rights, allowMissingColumns=True), by, order, max_rows)
+    if direction in ("backward", "nearest"):
+        both = known(both, {"_backward": F.col("_found")}, by, order, "previous", layout, max_rows)
+    if direction in ("forward", "nearest"):
+        both = known(both, {"_forward": F.col("_found")}, by, order, "next", layout, max_rows)
+    return both.filter(F.col("_side") == side_left)
 
 
 def join_asof(
@@ -109,10 +109,7 @@ def join_asof(
     clash = [c for c in carried if c in left.columns]
     if clash:
         raise ValueError(f"right columns would overwrite left ones: {clash}")
-    ways = ["backward", "forward"] if direction == "nearest" else [direction]
-    out = left
-    for way in ways:
-        out = _asof_one_way(out, right, ts, right_ts, by, carried, way, max_rows).withColumnRenamed("_found", f"_{way}")
+    out = _asof_scan(left, right, ts, right_ts, by, carried, direction, max_rows)
     if direction == "nearest":
         back = micros(F.col(ts)) - micros(F.col("_backward._at"))
         ahead = micros(F.col("_forward._at")) - micros(F.col(ts))
