@@ -341,16 +341,28 @@ def _(spark, sf):
     return _text(turbines.score(s.na.fill(0, SENSORS), trained.models, trained.scalers, setup))
 
 
-@query("s9_save_model")
+@query(
+    "s9_save_model",
+    f"""WITH {SIGNALS_SQL}, {FAILURES_SQL},
+        days AS (SELECT DISTINCT Turbine_ID, Timestamp::DATE AS Date FROM signals
+          UNION SELECT DISTINCT Turbine_ID, Timestamp::DATE FROM failures WHERE Component = 'GENERATOR'),
+        n AS (SELECT count(*) AS n FROM days WHERE Date >= (SELECT max_by(Date, (Turbine_ID, Date)) - INTERVAL 10 DAY FROM days))
+        SELECT kind, n AS rows, n AS same FROM n, (SELECT unnest(['logistic', 'adaboost', 'knn']) AS kind)""",
+)
 def _(spark, sf):
+    """Test rows, and how many of them the stored and reloaded model predicts as the fitted one does."""
     train, test, features = _learning(spark, sf)
     out = None
     for kind, params in (("logistic", {"C": 1.0}), ("adaboost", {"n_estimators": 3}), ("knn", {"k": 5})):
         path = scratch_path(spark, f"model-{kind}")
-        models.save_model(models.fit(train, kind, features, "label", _ROW, **params), path, spark)
-        part = models.load_model(path, spark).predict(test, _ROW).withColumn("kind", F.lit(kind))
+        model = models.fit(train, kind, features, "label", _ROW, **params)
+        models.save_model(model, path, spark)
+        again = models.load_model(path, spark).predict(test, _ROW).withColumnsRenamed({"prediction": "p", "score": "s"})
+        both = model.predict(test, _ROW).join(again, _ROW)
+        same = (F.col("prediction") == F.col("p")) & (F.abs(F.col("score") - F.col("s")) < 1e-9)
+        part = both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(same).alias("same")).select(F.lit(kind).alias("kind"), "rows", "same")
         out = part if out is None else out.unionByName(part)
-    return _text(out)
+    return out
 
 
 # --- streams -----------------------------------------------------------------------------------
