@@ -82,9 +82,9 @@ def test_interpolation_matches_pandas(spark):
     pdf = pd.DataFrame({"g": ["a"] * 80 + ["b"] * 40, "i": range(120), "x": x})
     df = nulls.nan_to_null(spark.createDataFrame(pdf))
     for limit in (None, 10):
-        got = nulls.interpolate_linear(df, ["x"], ["i"], max_rows=limit).orderBy("i").toPandas()["x"]
+        got = nulls.interpolate_linear(df, ["x"], ["i"], task_rows=limit).orderBy("i").toPandas()["x"]
         pd.testing.assert_series_equal(got, pdf["x"].interpolate(), check_names=False)
-        got = nulls.interpolate_linear(df, ["x"], ["i"], ["g"], max_rows=limit).orderBy("i").toPandas()["x"]
+        got = nulls.interpolate_linear(df, ["x"], ["i"], ["g"], task_rows=limit).orderBy("i").toPandas()["x"]
         want = pd.concat([p["x"].interpolate() for _, p in pdf.groupby("g")])
         pd.testing.assert_series_equal(got, want, check_names=False)
 
@@ -95,7 +95,7 @@ def test_backfill_inside_turbine_and_over_the_table(spark):
     inside = nulls.backfill(df, ["v"], ["i"], ["t"]).orderBy("t", "i")
     assert [r["v"] for r in inside.collect()] == [1.0, None, None, 5.0, 5.0, None]
     for limit in (None, 2):
-        over = nulls.backfill(df, ["v"], ["t", "i"], max_rows=limit).orderBy("t", "i")
+        over = nulls.backfill(df, ["v"], ["t", "i"], task_rows=limit).orderBy("t", "i")
         assert [r["v"] for r in over.collect()] == [1.0, 5.0, 5.0, 5.0, 5.0, None]
 
 

@@ -72,7 +72,7 @@ def test_blocks_and_runs_agree(spark, rows):
             for c in ("gearbox", "generator") for t in range(4) for d in range(60)]
     df = spark.createDataFrame(data, COLS)
     whole = evaluation.savings_metric(df, "component", ["turbine", "day"])
-    assert rows(whole) == rows(evaluation.savings_metric(df, "component", ["turbine", "day"], max_rows=25))
+    assert rows(whole) == rows(evaluation.savings_metric(df, "component", ["turbine", "day"], task_rows=25))
     # independent replay of the definition, position by position
     for component in ("gearbox", "generator"):
         r = [x for x in sorted(data) if x[0] == component]
@@ -103,18 +103,18 @@ def test_curves(spark):
     s = np.round(rnd.random(200) * 0.7 + y * 0.2, 2)
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "y int, s double")
     for limit in (None, 10):
-        roc = evaluation.roc_curve(df, "y", "s", max_rows=limit).orderBy(F.desc("threshold")).collect()
-        pr = evaluation.pr_curve(df, "y", "s", max_rows=limit).orderBy(F.desc("threshold")).collect()
+        roc = evaluation.roc_curve(df, "y", "s", task_rows=limit).orderBy(F.desc("threshold")).collect()
+        pr = evaluation.pr_curve(df, "y", "s", task_rows=limit).orderBy(F.desc("threshold")).collect()
         cuts = sorted(set(s), reverse=True)
         assert [r["threshold"] for r in roc] == cuts
         for r, p, c in zip(roc, pr, cuts):
             pred = s >= c
             assert r["tpr"] == pytest.approx(pred[y == 1].mean()) and r["fpr"] == pytest.approx(pred[y == 0].mean())
             assert p["precision"] == pytest.approx(y[pred].mean()) and p["que"] == pytest.approx(pred.mean())
-        area = evaluation.auc(df, "y", "s", max_rows=limit).first()["auc"]
+        area = evaluation.auc(df, "y", "s", task_rows=limit).first()["auc"]
         tpr, fpr = np.array([0, *[r["tpr"] for r in roc]]), np.array([0, *[r["fpr"] for r in roc]])
         assert area == pytest.approx(np.trapezoid(tpr, fpr))
-        corners = evaluation.roc_curve(df, "y", "s", drop_collinear=True, max_rows=limit).orderBy(F.desc("threshold")).collect()
+        corners = evaluation.roc_curve(df, "y", "s", drop_collinear=True, task_rows=limit).orderBy(F.desc("threshold")).collect()
         ct, cf = np.array([0, *[r["tpr"] for r in corners]]), np.array([0, *[r["fpr"] for r in corners]])
         assert len(corners) < len(roc) and np.trapezoid(ct, cf) == pytest.approx(area)
 

@@ -57,10 +57,10 @@ def test_asof_edges(spark):
     right = spark.createDataFrame([(at(1), 1.0), (at(2), 2.0), (at(2, 10), 3.0)], "rt timestamp_ntz, v double")
     values = lambda **kw: [r["v"] for r in joins.join_asof(left, right, "t", right_ts="rt", **kw).orderBy("i").collect()]
     for limit in (None, 2):
-        assert values(max_rows=limit) == [None, 1.0, 2.0, 3.0]
-        assert values(direction="forward", max_rows=limit) == [1.0, 1.0, 3.0, None]
-        assert values(direction="nearest", max_rows=limit) == [1.0, 1.0, 3.0, 3.0]
-        assert values(tolerance_minutes=5, max_rows=limit) == [None, 1.0, None, None]
+        assert values(task_rows=limit) == [None, 1.0, 2.0, 3.0]
+        assert values(direction="forward", task_rows=limit) == [1.0, 1.0, 3.0, None]
+        assert values(direction="nearest", task_rows=limit) == [1.0, 1.0, 3.0, 3.0]
+        assert values(tolerance_minutes=5, task_rows=limit) == [None, 1.0, None, None]
 
 
 def test_asof_matches_pandas(spark):
@@ -96,7 +96,7 @@ def test_horizon_join_and_flags(spark, rows, monkeypatch):
     assert rows(joins.join_horizon(s, f, "Turbine_ID", lower=2, upper=9), "i", "failure_ts", "days_to_failure") == want
     flags = lambda c: {i for i, t, k in sig for f, k2, c2 in fail if k == k2 and c == c2 and 2 <= days(f, t) <= 9}
     for limit in (None, 20):
-        out = labels.horizon_flags_per_component(s, f, ["GEN", "OIL"], 9, max_rows=limit)
+        out = labels.horizon_flags_per_component(s, f, ["GEN", "OIL"], 9, task_rows=limit)
         got = {r["i"]: (r["Fail_9_GEN"], r["Fail_9_OIL"]) for r in out.collect()}
         assert got == {i: (int(i in flags("GEN")), int(i in flags("OIL"))) for i, _, _ in sig}
 
@@ -115,7 +115,7 @@ def test_time_to_failure(spark):
     rows = [("A", at(0), 0), ("A", at(2.5), 0), ("A", at(4), 1), ("A", at(4), 0), ("A", at(6), 0), ("B", at(1), 0)]
     df = spark.createDataFrame(rows, "k string, t timestamp_ntz, flag int")
     for limit in (None, 2):
-        out = labels.time_to_failure(df, "flag", "k", "t", max_rows=limit).orderBy("k", "t", "flag").collect()
+        out = labels.time_to_failure(df, "flag", "k", "t", task_rows=limit).orderBy("k", "t", "flag").collect()
         assert [r["TTF"] for r in out] == [4.0, 2.0, 0.0, 0.0, 0.0, 0.0]
     floor = labels.ttf_floor_days(df, "flag", "k", "t").orderBy("k", "t", "flag").collect()
     assert [r["TTF"] for r in floor] == [4, 1, 0, 0, None, None]
@@ -153,7 +153,7 @@ def test_rolling_matches_pandas(spark):
     pdf = pd.concat([pdf, pd.DataFrame({"k": ["C"], "i": [90], "x": [1.0]})])
     by = pdf.sort_values(["k", "i"]).groupby("k")["x"].rolling(7, min_periods=1)
     for limit in (None, 10):
-        got = windows.add_rolling_features(spark.createDataFrame(pdf), ["x"], ["k"], ["i"], 7, max_rows=limit).orderBy("k", "i").toPandas()
+        got = windows.add_rolling_features(spark.createDataFrame(pdf), ["x"], ["k"], ["i"], 7, task_rows=limit).orderBy("k", "i").toPandas()
         np.testing.assert_allclose(got["x_av"], by.mean().to_numpy())
         np.testing.assert_allclose(got["x_sd"], by.std().fillna(0).to_numpy(), atol=1e-12)
     assert list(got.columns) == ["k", "i", "x", "x_av", "x_sd"]
@@ -162,7 +162,7 @@ def test_rolling_matches_pandas(spark):
 def test_sequences(spark):
     df = spark.createDataFrame([("A", i, float(i), i * 10) for i in range(6)] + [("B", i, 0.0, 0) for i in range(3)], "k string, i int, x double, y int")
     for limit in (None, 3):
-        out = windows.sliding_sequences(df, ["x"], "y", "k", ["i"], 3, max_rows=limit).orderBy("k", "start").collect()
+        out = windows.sliding_sequences(df, ["x"], "y", "k", ["i"], 3, task_rows=limit).orderBy("k", "start").collect()
         assert [(r["k"], r["start"], [v[0] for v in r["X"]], r["y"]) for r in out] == [
             ("A", 0, [0.0, 1.0, 2.0], 20), ("A", 1, [1.0, 2.0, 3.0], 30), ("A", 2, [2.0, 3.0, 4.0], 40)]
     drawn = windows.sliding_sequences(df, ["x"], "y", "k", ["i"], 3, n=2, seed=1)

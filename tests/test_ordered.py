@@ -28,7 +28,7 @@ CASES = [(["k"], ["at", "id"]), ([], ["at", "id"]), ([], ["k", "at", "id"]), (["
 @pytest.mark.parametrize("limit", [9, 60])
 def test_known(skewed, rows, keys, order, limit):
     for direction in ("next", "previous"):
-        got = ordered.known(skewed, {"x": F.col("v")}, keys, order, direction, max_rows=limit)
+        got = ordered.known(skewed, {"x": F.col("v")}, keys, order, direction, task_rows=limit)
         whole = Window.partitionBy(*keys).orderBy(*order)
         if direction == "next":
             plain = F.first("v", ignorenulls=True).over(whole.rowsBetween(0, Window.unboundedFollowing))
@@ -41,24 +41,24 @@ def test_known(skewed, rows, keys, order, limit):
 @pytest.mark.parametrize("limit", [9, 60])
 def test_running_sum_and_rolling(skewed, rows, keys, order, limit):
     whole = Window.partitionBy(*keys).orderBy(*order)
-    got = ordered.running_sum(skewed, {"s": F.col("v"), "n": F.lit(1)}, keys, order, max_rows=limit)
+    got = ordered.running_sum(skewed, {"s": F.col("v"), "n": F.lit(1)}, keys, order, task_rows=limit)
     frame = whole.rowsBetween(Window.unboundedPreceding, 0)
     want = skewed.withColumns({"s": F.sum("v").over(frame), "n": F.count(F.lit(1)).over(frame)})
     assert rows(got, "id", "s", "n") == rows(want, "id", "s", "n")
-    got = ordered.rolling(skewed, {"s": lambda w: F.sum("id").over(w)}, keys, order, 5, 2, max_rows=limit)
+    got = ordered.rolling(skewed, {"s": lambda w: F.sum("id").over(w)}, keys, order, 5, 2, task_rows=limit)
     want = skewed.withColumn("s", F.sum("id").over(whole.rowsBetween(-5, 2)))
     assert rows(got, "id", "s") == rows(want, "id", "s")
 
 
 def test_frame_wider_than_a_block(skewed, rows):
     whole = Window.partitionBy("k").orderBy("id")
-    got = ordered.rolling(skewed, {"s": lambda w: F.sum("id").over(w)}, ["k"], ["id"], 40, max_rows=10)
+    got = ordered.rolling(skewed, {"s": lambda w: F.sum("id").over(w)}, ["k"], ["id"], 40, task_rows=10)
     assert rows(got, "id", "s") == rows(skewed.withColumn("s", F.sum("id").over(whole.rowsBetween(-40, 0))), "id", "s")
 
 
 def test_positions_with_identical_rows(spark):
     df = spark.createDataFrame([(1, "a")] * 300 + [(2, "b")] * 50, "x int, t string")
-    got = [r["pos"] for r in ordered.place_rows(df, ["t"], max_rows=20).orderBy("pos").collect()]
+    got = [r["pos"] for r in ordered.place_rows(df, ["t"], task_rows=20).orderBy("pos").collect()]
     assert got == list(range(350))
 
 
@@ -80,7 +80,7 @@ def test_quantiles_match_pandas(skewed):
     pdf = skewed.toPandas()
     points = [0.0, 0.1, 0.33, 0.5, 0.9, 1.0]
     for limit in (None, 30):
-        got = ordered.quantiles(skewed, "at", points, max_rows=limit).first()["quantiles"]
+        got = ordered.quantiles(skewed, "at", points, task_rows=limit).first()["quantiles"]
         assert got == pytest.approx(pdf["at"].quantile(points).tolist())
         by = {r["k"]: r["quantiles"] for r in ordered.quantiles(skewed, "v", points, ["k"], limit).collect()}
         for k, part in pdf.groupby("k"):
@@ -90,15 +90,15 @@ def test_quantiles_match_pandas(skewed):
 def test_missing_keys_form_a_group(spark, rows):
     df = spark.createDataFrame([(None if i % 2 else "a", i, i if i % 5 == 0 else None) for i in range(80)], "k string, i int, v int")
     for call in (
-        lambda limit: ordered.known(df, {"x": F.col("v")}, ["k"], ["i"], max_rows=limit),
-        lambda limit: ordered.running_sum(df, {"x": F.col("v")}, ["k"], ["i"], max_rows=limit),
-        lambda limit: ordered.rolling(df, {"x": lambda w: F.sum("i").over(w)}, ["k"], ["i"], 3, max_rows=limit),
+        lambda limit: ordered.known(df, {"x": F.col("v")}, ["k"], ["i"], task_rows=limit),
+        lambda limit: ordered.running_sum(df, {"x": F.col("v")}, ["k"], ["i"], task_rows=limit),
+        lambda limit: ordered.rolling(df, {"x": lambda w: F.sum("i").over(w)}, ["k"], ["i"], 3, task_rows=limit),
     ):
         assert rows(call(None), "i", "x") == rows(call(7), "i", "x")
 
 
 def test_large_side_is_shuffled_once(skewed):
-    got = ordered.known(skewed, {"x": F.col("v")}, ["k"], ["id"], max_rows=20)
+    got = ordered.known(skewed, {"x": F.col("v")}, ["k"], ["id"], task_rows=20)
     plan = got._jdf.queryExecution().toString()
     wide = [line for line in plan.split("== Physical Plan ==")[1].splitlines() if "Exchange hashpartitioning(k" in line]
     assert len(wide) <= 4  # one for the rows, three for the small summary

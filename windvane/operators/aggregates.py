@@ -63,12 +63,12 @@ def value_counts_pivot(df: DataFrame, row: str, col: str, values: list) -> DataF
     return df.groupBy(row).pivot(col, values).agg(F.count(F.lit(1)))
 
 
-def freq_cumulative(df: DataFrame, col: str, max_rows: int | None = None) -> DataFrame:
+def freq_cumulative(df: DataFrame, col: str, task_rows: int | None = None) -> DataFrame:
     """Count, relative and cumulative relative frequency in the order of :func:`value_counts`."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
     ordered = counts.withColumn("_down", -F.col("n"))
-    summed = running_sum(ordered, {"_cum": F.col("n")}, [], ["_down", col], max_rows=max_rows)
+    summed = running_sum(ordered, {"_cum": F.col("n")}, [], ["_down", col], task_rows=task_rows)
     return summed.select(
         col, "n", (F.col("n") / F.lit(float(total))).alias("share"), (F.col("_cum") / F.lit(float(total))).alias("cum_share")
     )
@@ -211,9 +211,9 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     )
 
 
-def box_stats(df: DataFrame, value: str, group: str, max_rows: int | None = None) -> DataFrame:
+def box_stats(df: DataFrame, value: str, group: str, task_rows: int | None = None) -> DataFrame:
     """Exact five-number summary per group."""
-    found = quantiles(df, value, [0.0, 0.25, 0.5, 0.75, 1.0], [group], max_rows)
+    found = quantiles(df, value, [0.0, 0.25, 0.5, 0.75, 1.0], [group], task_rows)
     names = ["min", "q25", "q50", "q75", "max"]
     return found.select(group, *[F.col("quantiles")[i].alias(n) for i, n in enumerate(names)])
 

@@ -17,9 +17,9 @@ def _numbered(value: Column, lower_edges: list[float]) -> Column:
     return F.when(value.isNotNull() & ~F.isnan(value), place)
 
 
-def bin_quantile(df: DataFrame, col: str, n: int = 10, name: str | None = None, max_rows: int | None = None) -> DataFrame:
+def bin_quantile(df: DataFrame, col: str, n: int = 10, name: str | None = None, task_rows: int | None = None) -> DataFrame:
     """Bins with equal row shares between exact interpolated quantiles; the smallest value is in bin 1."""
-    edges = quantiles(df, col, [i / n for i in range(n + 1)], max_rows=max_rows).first()["quantiles"]
+    edges = quantiles(df, col, [i / n for i in range(n + 1)], task_rows=task_rows).first()["quantiles"]
     if len(set(edges)) < len(edges):
         raise ValueError(f"bin edges of {col} are not unique: {edges}")
     value = F.col(f"`{col}`").cast("double")

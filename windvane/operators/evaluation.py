@@ -35,11 +35,11 @@ def confusion_flags(df: DataFrame, y: str, pred: str) -> DataFrame:
     )
 
 
-def _score_counts(df: DataFrame, y: str, score: str, keys: list[str], max_rows: int | None) -> DataFrame:
+def _score_counts(df: DataFrame, y: str, score: str, keys: list[str], task_rows: int | None) -> DataFrame:
     """Per distinct score: positives and negatives, running from the highest score down."""
     signed = df.select(*keys, (-F.col(score).cast("double")).alias("_down"), F.col(y).alias("_y"))
     counts = {"pos": case_flag(F.col("_y") == 1).cast("long"), "neg": case_flag(F.col("_y") == 0).cast("long")}
-    return ordered.running_counts(signed, counts, keys, "_down", max_rows)
+    return ordered.running_counts(signed, counts, keys, "_down", task_rows)
 
 
 def _with_totals(counted: DataFrame, df: DataFrame, y: str, keys: list[str]) -> DataFrame:
@@ -51,17 +51,17 @@ def _with_totals(counted: DataFrame, df: DataFrame, y: str, keys: list[str]) ->
     return counted.withColumns({"P": F.lit(row["P"]), "N": F.lit(row["N"])})
 
 
-def auc(df: DataFrame, y: str, score: str, keys: list[str] | tuple[str, ...] = (), max_rows: int | None = None) -> DataFrame:
+def auc(df: DataFrame, y: str, score: str, keys: list[str] | tuple[str, ...] = (), task_rows: int | None = None) -> DataFrame:
     """Area under the ROC curve per run as the rank statistic (ties count half); null for a single class."""
     keys = list(keys)
-    counted = _score_counts(df, y, score, keys, max_rows)
+    counted = _score_counts(df, y, score, keys, task_rows)
     wins = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2))
     summed = counted.groupBy(*keys).agg(wins.alias("w"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return summed.select(*keys, F.try_divide(F.col("w"), (F.col("P") * F.col("N")).cast("double")).alias("auc"))
 
 
 def classification_metrics(
-    df: DataFrame, y: str, pred: str, score: str, keys: list[str] | tuple[str, ...] = (), max_rows: int | None = None
+    df: DataFrame, y: str, pred: str, score: str, keys: list[str] | tuple[str, ...] = (), task_rows: int | None = None
 ) -> DataFrame:
     """AUC, accuracy, recall, specificity, precision and F1 per run; all null when the run has one class only."""
     keys = list(keys)
@@ -78,7 +78,7 @@ def classification_metrics(
         guard(F.try_divide(2 * tp, 2 * tp + fp + fn)).alias("f1"),
         *[F.col(c) for c in ("TP", "TN", "FP", "FN")],
     )
-    area = auc(df, y, score, keys, max_rows)
+    area = auc(df, y, score, keys, task_rows)
     if keys:
         return rated.join(area, keys)
     return rated.withColumn("auc", F.lit(area.first()["auc"]).cast("double"))
@@ -86,7 +86,7 @@ def classification_metrics(
 
 def roc_curve(
     df: DataFrame, y: str, score: str, keys: list[str] | tuple[str, ...] = (), drop_collinear: bool = False,
-    max_rows: int | None = None,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """One row per distinct score, highest first: threshold, TPR, FPR, share of rows at or above it, counts.
 
@@ -94,12 +94,12 @@ def roc_curve(
     direction changes). The point (0, 0) above the highest score is implied and not listed.
     """
     keys = list(keys)
-    counted = _with_totals(_score_counts(df, y, score, keys, max_rows), df, y, keys)
+    counted = _with_totals(_score_counts(df, y, score, keys, task_rows), df, y, keys)
     if drop_collinear:
         ahead = lambda c: (lambda w: F.max(c).over(w.rowsBetween(1, 1)))
         behind = lambda c: (lambda w: F.max(c).over(w.rowsBetween(-1, -1)))
         counted = ordered.rolling(
-            counted, {"_np": ahead("pos"), "_nn": ahead("neg"), "_bp": behind("pos")}, keys, ["_down"], 1, 1, max_rows=max_rows
+            counted, {"_np": ahead("pos"), "_nn": ahead("neg"), "_bp": behind("pos")}, keys, ["_down"], 1, 1, task_rows=task_rows
         )
         corner = F.col("_np").isNull() | F.col("_bp").isNull() | (F.col("pos") * F.col("_nn") != F.col("neg") * F.col("_np"))
         counted = counted.filter(corner)
@@ -136,13 +136,13 @@ def roc_scaled_counts(roc: DataFrame, base: tuple[int, int] | None = (25, 75), l
     return out.withColumns({"TNR": ratio("TN", "FP"), "FNR": ratio("FN", "TP")})
 
 
-def pr_curve(df: DataFrame, y: str, score: str, keys: list[str] | tuple[str, ...] = (), max_rows: int | None = None) -> DataFrame:
+def pr_curve(df: DataFrame, y: str, score: str, keys: list[str] | tuple[str, ...] = (), task_rows: int | None = None) -> DataFrame:
     """One row per distinct score: threshold, precision, recall, share of rows at or above it.
 
     The closing point (precision 1, recall 0) is implied and not listed.
     """
     keys = list(keys)
-    counted = _with_totals(_score_counts(df, y, score, keys, max_rows), df, y, keys)
+    counted = _with_totals(_score_counts(df, y, score, keys, task_rows), df, y, keys)
     at_or_above = (F.col("cum_pos") + F.col("cum_neg")).cast("double")
     return counted.select(
         *keys,
@@ -195,7 +195,7 @@ def cost_columns(component: str, costs: dict[str, tuple[float, float, float]] =
 
 def savings_rows(
     df: DataFrame, keys: list[str], order: list[str], days: int = 10, by_turbine: str | None = None,
-    y: str = "y_test", pred: str = "y_pred", ttf: str = "TTF", layout: ordered.Layout | None = None, max_rows: int | None = None,
+    y: str = "y_test", pred: str = "y_pred", ttf: str = "TTF", layout: ordered.Layout | None = None, task_rows: int | None = None,
 ) -> DataFrame:
     """Evaluation table: TTF rounded up, the four flags, and ``new_FP``, the false alarms of the last ``days`` rows.
 
@@ -205,7 +205,7 @@ def savings_rows(
     reset = [*keys, by_turbine] if by_turbine else keys
     rest = [c for c in order if c not in reset]
     return ordered.rolling(
-        flagged, {"new_FP": lambda w: F.sum("FP").over(w)}, reset, rest, before=days - 1, layout=layout, max_rows=max_rows
+        flagged, {"new_FP": lambda w: F.sum("FP").over(w)}, reset, rest, before=days - 1, layout=layout, task_rows=task_rows
     )
 
 
@@ -221,7 +221,7 @@ def savings_metric(
     y: str = "y_test",
     pred: str = "y_pred",
     ttf: str = "TTF",
-    max_rows: int | None = None,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Money saved by the predictions, one row per component and further run keys.
 
@@ -234,11 +234,11 @@ def savings_metric(
     """
     runs = [component, *[k for k in keys if k != component]]
     rest = [c for c in order if c not in runs]
-    base, layout = ordered.lay_out(df, runs, rest, max_rows)
+    base, layout = ordered.lay_out(df, runs, rest, task_rows)
     shared = None if by_turbine else layout
-    rows = savings_rows(base, runs, list(layout.order) if shared else order, days, by_turbine, y, pred, ttf, shared, max_rows)
+    rows = savings_rows(base, runs, list(layout.order) if shared else order, days, by_turbine, y, pred, ttf, shared, task_rows)
     tracked = ordered.running_sum(
-        rows, {"_row": F.lit(1).cast("long"), "_alarm": F.col("TP").cast("long")}, runs, rest, layout, max_rows
+        rows, {"_row": F.lit(1).cast("long"), "_alarm": F.col("TP").cast("long")}, runs, rest, layout, task_rows
     )
     alarm = F.col("TP") == 1
     firsts = tracked.groupBy(*runs).agg(

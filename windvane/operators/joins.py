@@ -11,7 +11,7 @@ from windvane.operators.ordered import known, lay_out
 from windvane.session import broadcast_if_small, is_small
 
 
-def join_outer_rare(signals: DataFrame, rare: DataFrame, keys: list[str]) -> DataFrame:
+def join_outer_rare(signals: DataFrame, rare: DataFrame, keys: list[str], broadcast_bytes: int | None = None) -> DataFrame:
     """Full outer equi join where the right side is usually tiny.
 
     A measured-small right side is broadcast, so the left rows are not shuffled: matched rows come
@@ -19,7 +19,7 @@ def join_outer_rare(signals: DataFrame, rare: DataFrame, keys: list[str]) -> Dat
     match, which are no more than the right side's own keys. A larger right side uses the shuffled
     full join.
     """
-    if not is_small(rare):
+    if not is_small(rare, broadcast_bytes):
         return signals.join(rare, keys, "full")
     matched = signals.join(F.broadcast(rare), keys, "left")
     seen = signals.select(*keys).join(F.broadcast(rare.select(*keys)), keys, "left_semi").distinct()
@@ -35,6 +35,7 @@ def join_outer_keys(
     zero_fill: bool = True,
     component_col: str = "Component",
     flag: str = "Component",
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Full outer join with one component's failures; the flag is 1 on failure rows and 0 elsewhere.
 
@@ -42,7 +43,7 @@ def join_outer_keys(
     ``zero_fill``.
     """
     chosen = failures if component is None else failures.filter(F.col(component_col) == F.lit(component))
-    joined = join_outer_rare(signals, chosen.select(*keys, F.lit(1).alias("_hit")), keys)
+    joined = join_outer_rare(signals, chosen.select(*keys, F.lit(1).alias("_hit")), keys, broadcast_bytes)
     out = joined.withColumn(flag, F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit")
     sensors = [f.name for f in signals.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in keys]
     return out.na.fill(0, subset=sensors) if zero_fill and sensors else out
@@ -66,7 +67,7 @@ def join_renamed(
     return left.join(broadcast_if_small(right), condition, how).drop(*keyed.values())
 
 
-def _asof_scan(left, right, ts, right_ts, by, carried, direction, max_rows):
+def _asof_scan(left, right, ts, right_ts, by, carried, direction, task_rows):
     """Left rows with the packed right row before (``_backward``) and/or after them (``_forward``)."""
     # at equal times the right row must lie on the side that is looked at; for "nearest" the row before
     # wins such a tie anyway, so one order serves both scans
@@ -79,11 +80,11 @@ def _asof_scan(left, right, ts, right_ts, by, carried, direction, max_rows):
     nothing = F.lit(None).cast(rights.schema["_found"].dataType)
     lefts = left.withColumns({"_side": F.lit(side_left), "_tie": F.lit(0).cast("long"), "_found": nothing})
     order = [ts, "_side", "_tie"]
-    both, layout = lay_out(lefts.unionByName(rights, allowMissingColumns=True), by, order, max_rows)
+    both, layout = lay_out(lefts.unionByName(rights, allowMissingColumns=True), by, order, task_rows)
     if direction in ("backward", "nearest"):
-        both = known(both, {"_backward": F.col("_found")}, by, order, "previous", layout, max_rows)
+        both = known(both, {"_backward": F.col("_found")}, by, order, "previous", layout, task_rows)
     if direction in ("forward", "nearest"):
-        both = known(both, {"_forward": F.col("_found")}, by, order, "next", layout, max_rows)
+        both = known(both, {"_forward": F.col("_found")}, by, order, "next", layout, task_rows)
     return both.filter(F.col("_side") == side_left)
 
 
@@ -95,7 +96,7 @@ def join_asof(
     direction: str = "backward",
     tolerance_minutes: float | None = None,
     right_ts: str | None = None,
-    max_rows: int | None = None,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Closest right row in time: the last one at or before (``backward``), the first one at or after
     (``forward``), or the closer of both (``nearest``, the earlier one on a tie).
@@ -109,7 +110,7 @@ def join_asof(
     clash = [c for c in carried if c in left.columns]
     if clash:
         raise ValueError(f"right columns would overwrite left ones: {clash}")
-    out = _asof_scan(left, right, ts, right_ts, by, carried, direction, max_rows)
+    out = _asof_scan(left, right, ts, right_ts, by, carried, direction, task_rows)
     if direction == "nearest":
         back = micros(F.col(ts)) - micros(F.col("_backward._at"))
         ahead = micros(F.col("_forward._at")) - micros(F.col(ts))
@@ -137,6 +138,7 @@ def join_horizon(
     lower: float = 2,
     upper: float = 60,
     name: str = "days_to_failure",
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Every failure that lies ``lower`` to ``upper`` days (rounded to 2 decimals) after a signal row.
 
@@ -152,7 +154,7 @@ def join_horizon(
     days = days_between(F.col(ts), F.col("failure_ts"), 2)
     condition = (F.col(key) == F.col("_key")) & days.between(lower, upper)
     left = signals
-    if is_small(right):
+    if is_small(right, broadcast_bytes):
         right = F.broadcast(right)
     else:
         fail_day = F.to_date("failure_ts")

@@ -34,7 +34,7 @@ REMARKS = [
 
 def next_failure_date(
     df: DataFrame, flag: str, key: str, ts: str, name: str = "date", entities: list | None = None,
-    layout: Layout | None = None, max_rows: int | None = None,
+    layout: Layout | None = None, task_rows: int | None = None,
 ) -> DataFrame:
     """First failure at or after each row of the turbine; a row without later failure gets its own time.
 
@@ -44,25 +44,25 @@ def next_failure_date(
         df = df.filter(F.col(key).isin(list(entities)))
     # the flag closes the order, so rows at the very time of a failure see it ahead of them
     out = ordered.known(
-        df, {name: F.when(F.col(flag) == 1, F.col(ts))}, [key], [ts, flag], "next", layout, max_rows
+        df, {name: F.when(F.col(flag) == 1, F.col(ts))}, [key], [ts, flag], "next", layout, task_rows
     )
     return out.withColumn(name, F.coalesce(F.col(name), F.col(ts)))
 
 
 def time_to_failure(
     df: DataFrame, flag: str, key: str, ts: str, rounding: str | None = "half_even", name: str = "TTF",
-    entities: list | None = None, layout: Layout | None = None, max_rows: int | None = None,
+    entities: list | None = None, layout: Layout | None = None, task_rows: int | None = None,
 ) -> DataFrame:
     """Days to the next failure: rounded half to even, cut to whole days ("floor"), or exact (None)."""
-    dated = next_failure_date(df, flag, key, ts, "_next", entities, layout, max_rows)
+    dated = next_failure_date(df, flag, key, ts, "_next", entities, layout, task_rows)
     days = days_between(F.col(ts), F.col("_next"), None)
     days = {"half_even": F.bround(days, 0), "floor": F.floor(days).cast("double"), None: days}[rounding]
     return dated.withColumn(name, days).drop("_next")
 
 
-def ttf_floor_days(df: DataFrame, flag: str, key: str, ts: str, name: str = "TTF", max_rows: int | None = None) -> DataFrame:
+def ttf_floor_days(df: DataFrame, flag: str, key: str, ts: str, name: str = "TTF", task_rows: int | None = None) -> DataFrame:
     """Whole days to the next failure; null where no failure follows."""
-    out = ordered.known(df, {"_next": F.when(F.col(flag) == 1, F.col(ts))}, [key], [ts, flag], "next", max_rows=max_rows)
+    out = ordered.known(df, {"_next": F.when(F.col(flag) == 1, F.col(ts))}, [key], [ts, flag], "next", task_rows=task_rows)
     return out.withColumn(name, F.floor(days_between(F.col(ts), F.col("_next"), None)).cast("long")).drop("_next")
 
 
@@ -75,7 +75,7 @@ def horizon_labels(df: DataFrame, ttf: str, periods: list[int], lower: float | N
 
 def horizon_flags_per_component(
     grid: DataFrame, failures: DataFrame, components: list[str], limit: float, lower: float = 2, key: str = "Turbine_ID",
-    ts: str = "Timestamp", component_col: str = "Component", max_rows: int | None = None,
+    ts: str = "Timestamp", component_col: str = "Component", task_rows: int | None = None,
 ) -> DataFrame:
     """``Fail_<limit>_<component>`` is 1 when some failure of the component lies ``lower`` to ``limit`` days ahead.
 
@@ -95,7 +95,7 @@ def horizon_flags_per_component(
         *[F.when(F.col(component_col) == F.lit(c), micros(ts)).alias(m) for c, m in zip(components, marks)],
     )
     both = rows.unionByName(events, allowMissingColumns=True)
-    scanned = ordered.known(both, {m: F.col(m) for m in marks}, [key], ["_at", "_side"], "next", max_rows=max_rows)
+    scanned = ordered.known(both, {m: F.col(m) for m in marks}, [key], ["_at", "_side"], "next", task_rows=task_rows)
     last = micros(ts) + F.lit(int(limit * MICROS_PER_DAY) + half)
     name = lambda c: f"Fail_{limit:g}_{c}"
     return scanned.filter(F.col("_side") == 0).select(

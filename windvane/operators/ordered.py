@@ -40,7 +40,7 @@ class Layout:
     def whole(self) -> bool:
         return self.width is None
 
-    def per_period(self, order: str, micros: int, max_rows: int | None = None) -> Layout | None:
+    def per_period(self, order: str, micros: int, task_rows: int | None = None) -> Layout | None:
         """Layout after the rows were reduced to one per (keys, period) by their time.
 
         A group then has at most as many rows as the measured time span has periods. None when that
@@ -49,7 +49,7 @@ class Layout:
         if self.low is None or self.order[0] == "_place":
             return None
         periods = (self.high - self.low) / micros + 2
-        return Layout(self.keys, (order,)) if periods <= (S.MAX_GROUP_ROWS if max_rows is None else max_rows) else None
+        return Layout(self.keys, (order,)) if periods <= (S.MAX_GROUP_ROWS if task_rows is None else task_rows) else None
 
     @property
     def group(self) -> tuple[str, ...]:
@@ -70,19 +70,21 @@ def _number(df: DataFrame, name: str) -> Column:
 
 def _block_of(df: DataFrame, layout: Layout) -> Column:
     number = _number(df, layout.order[0])
-    # rows without an order value sort first, in a block of their own
-    return F.coalesce(F.floor(number / F.lit(layout.width)).cast("long"), F.lit(-(2**62)).cast("long"))
+    # rows without an order value sort first and rows with NaN last, in blocks of their own
+    block = F.floor(F.when(~F.isnan(number), number) / F.lit(layout.width)).cast("long")
+    return F.when(F.isnan(number), F.lit(2**62).cast("long")).otherwise(F.coalesce(block, F.lit(-(2**62)).cast("long")))
 
 
 def measure(
-    df: DataFrame, keys: list[str] | tuple[str, ...], order: list[str] | tuple[str, ...], max_rows: int | None = None
+    df: DataFrame, keys: list[str] | tuple[str, ...], order: list[str] | tuple[str, ...], task_rows: int | None = None
 ) -> Layout | None:
     """Measure the groups and choose block borders; None when no borders on the first order column bound the blocks.
 
+    ``task_rows`` is the number of rows of one group that one task may hold; larger groups are cut.
     Only the key and order columns are read, and the counts are combined before their shuffle.
     """
     keys, order = tuple(keys), tuple(order)
-    limit = S.MAX_GROUP_ROWS if max_rows is None else max_rows
+    limit = S.MAX_GROUP_ROWS if task_rows is None else task_rows
     cuttable = isinstance(df.schema[order[0]].dataType, _CUTTABLE)
     number = _number(df, order[0]) if cuttable else F.lit(0.0)
     number = F.when(F.isnan(number), None).otherwise(number)
@@ -110,7 +112,7 @@ def measure(
 
 
 def lay_out(
-    df: DataFrame, keys: list[str] | tuple[str, ...], order: list[str] | tuple[str, ...], max_rows: int | None = None
+    df: DataFrame, keys: list[str] | tuple[str, ...], order: list[str] | tuple[str, ...], task_rows: int | None = None
 ) -> tuple[DataFrame, Layout]:
     """The frame to scan and its layout.
 
@@ -118,10 +120,10 @@ def lay_out(
     rows bunch up at single order values, or the order starts with text, all rows are numbered
     first and cut by position.
     """
-    layout = measure(df, keys, order, max_rows)
+    layout = measure(df, keys, order, task_rows)
     if layout is not None:
         return df, layout
-    limit = S.MAX_GROUP_ROWS if max_rows is None else max_rows
+    limit = S.MAX_GROUP_ROWS if task_rows is None else task_rows
     placed = _place_by_range(df, [*keys, *order], "_place", limit)
     return placed, Layout(tuple(keys), ("_place",), float(limit), null_keys=bool(keys))
 
@@ -153,17 +155,17 @@ def _place_by_range(df: DataFrame, order: list[str], name: str, limit: int) -> D
     )
 
 
-def place_rows(df: DataFrame, order: list[str], name: str = "pos", max_rows: int | None = None) -> DataFrame:
+def place_rows(df: DataFrame, order: list[str], name: str = "pos", task_rows: int | None = None) -> DataFrame:
     """0-based position of every row in a global order (W9 without keys)."""
-    limit = S.MAX_GROUP_ROWS if max_rows is None else max_rows
+    limit = S.MAX_GROUP_ROWS if task_rows is None else task_rows
     if df.count() <= limit:
         return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
     return _place_by_range(df, order, name, limit)
 
 
-def _prepare(df, keys, order, layout, max_rows):
+def _prepare(df, keys, order, layout, task_rows):
     if layout is None:
-        df, layout = lay_out(df, keys, order, max_rows)
+        df, layout = lay_out(df, keys, order, task_rows)
     return df, layout
 
 
@@ -197,11 +199,11 @@ def known(
     order: list[str] | tuple[str, ...],
     direction: str = "next",
     layout: Layout | None = None,
-    max_rows: int | None = None,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """For each row the nearest non-null value at or after it (``next``), or at or before it (``previous``)."""
     before_columns = df.columns
-    df, layout = _prepare(df, keys, order, layout, max_rows)
+    df, layout = _prepare(df, keys, order, layout, task_rows)
     raw = {f"_raw{i}": value for i, value in enumerate(values.values())}
     df = df.withColumns({**raw} if layout.whole else {**raw, BLOCK: _block_of(df, layout)})
     # a descending order with a growing frame is linear; a frame ending at "unbounded following"
@@ -236,11 +238,11 @@ def running_sum(
     keys: list[str] | tuple[str, ...],
     order: list[str] | tuple[str, ...],
     layout: Layout | None = None,
-    max_rows: int | None = None,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Sum of all rows up to and including the current one."""
     before_columns = df.columns
-    df, layout = _prepare(df, keys, order, layout, max_rows)
+    df, layout = _prepare(df, keys, order, layout, task_rows)
     raw = {f"_raw{i}": value for i, value in enumerate(values.values())}
     df = df.withColumns({**raw} if layout.whole else {**raw, BLOCK: _block_of(df, layout)})
     within = Window.partitionBy(*layout.group).orderBy(*layout.order).rowsBetween(Window.unboundedPreceding, 0)
@@ -271,12 +273,12 @@ def rolling(
     before: int = 0,
     after: int = 0,
     layout: Layout | None = None,
-    max_rows: int | None = None,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Row frame of ``before`` rows back to ``after`` rows ahead; each value gets the frame as a window."""
     before_columns = df.columns
-    limit = S.MAX_GROUP_ROWS if max_rows is None else max_rows
-    df, layout = _prepare(df, keys, order, layout, max_rows)
+    limit = S.MAX_GROUP_ROWS if task_rows is None else task_rows
+    df, layout = _prepare(df, keys, order, layout, task_rows)
     names = [c for c in before_columns if c not in values]
     if layout.whole:
         frame = Window.partitionBy(*layout.keys).orderBy(*layout.order).rowsBetween(-before, after)
@@ -306,15 +308,15 @@ def row_in_group(
     order: list[str],
     name: str = "pos",
     layout: Layout | None = None,
-    max_rows: int | None = None,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """0-based position inside each group."""
-    out = running_sum(df, {name: F.lit(1).cast("long")}, keys, order, layout, max_rows)
+    out = running_sum(df, {name: F.lit(1).cast("long")}, keys, order, layout, task_rows)
     return out.withColumn(name, F.col(name) - 1)
 
 
 def running_counts(
-    df: DataFrame, values: dict[str, Column], keys: list[str], by: str, max_rows: int | None = None
+    df: DataFrame, values: dict[str, Column], keys: list[str], by: str, task_rows: int | None = None
 ) -> DataFrame:
     """One row per (keys, value of ``by``): its totals and the totals up to and including it.
 
@@ -322,12 +324,12 @@ def running_counts(
     """
     grouped = df.groupBy(*keys, by).agg(*[F.sum(v).alias(name) for name, v in values.items()])
     # blocks that hold few rows hold few distinct values, so the ungrouped rows are measured first
-    layout = measure(df, keys, [by], max_rows)
-    return running_sum(grouped, {f"cum_{name}": F.col(name) for name in values}, keys, [by], layout, max_rows)
+    layout = measure(df, keys, [by], task_rows)
+    return running_sum(grouped, {f"cum_{name}": F.col(name) for name in values}, keys, [by], layout, task_rows)
 
 
 def quantiles(
-    df: DataFrame, col: str, points: list[float], keys: list[str] | None = None, max_rows: int | None = None
+    df: DataFrame, col: str, points: list[float], keys: list[str] | None = None, task_rows: int | None = None
 ) -> DataFrame:
     """Exact interpolated quantiles as one array per group, without gathering a group.
 
@@ -338,7 +340,7 @@ def quantiles(
     present = df.filter(F.col(f"`{col}`").isNotNull() & ~F.isnan(F.col(f"`{col}`").cast("double")))
     counted = running_counts(
         present.select(*keys, F.col(f"`{col}`").cast("double").alias("_v")), {"n": F.lit(1).cast("long")}, keys, "_v",
-        max_rows,
+        task_rows,
     )
     if keys:
         totals = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))

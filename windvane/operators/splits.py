@@ -26,9 +26,9 @@ def limit_tail(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     return df.orderBy(*[F.desc(c) for c in order]).limit(n)
 
 
-def take_range(df: DataFrame, low: int, high: int, order: list[str], max_rows: int | None = None) -> DataFrame:
+def take_range(df: DataFrame, low: int, high: int, order: list[str], task_rows: int | None = None) -> DataFrame:
     """Rows ``low`` (included) to ``high`` (excluded) of the stated order."""
-    placed = place_rows(df, order, "_pos", max_rows)
+    placed = place_rows(df, order, "_pos", task_rows)
     return placed.filter((F.col("_pos") >= low) & (F.col("_pos") < high)).drop("_pos")
 
 
@@ -71,10 +71,10 @@ def split_by_date(df: DataFrame, ts: str, cut: str) -> tuple[DataFrame, DataFram
     return filter_time_range(df, ts, end=cut), filter_time_range(df, ts, start=cut)
 
 
-def split_by_fraction(df: DataFrame, fraction: float, order: list[str], max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+def split_by_fraction(df: DataFrame, fraction: float, order: list[str], task_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """First share of the ordered rows, and the rest."""
     border = int(df.count() * fraction)
-    placed = place_rows(df, order, "_pos", max_rows)
+    placed = place_rows(df, order, "_pos", task_rows)
     return placed.filter(F.col("_pos") < border).drop("_pos"), placed.filter(F.col("_pos") >= border).drop("_pos")
 
 

@@ -32,7 +32,7 @@ def add_rolling_features(
     order: list[str],
     window: int = 15,
     layout: Layout | None = None,
-    max_rows: int | None = None,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Trailing mean and deviation of every sensor. All of them share one frame, hence one shuffle and one sort.
 
@@ -45,42 +45,42 @@ def add_rolling_features(
     values |= {
         f"{c}_sd": (lambda w, c=c: F.coalesce(F.stddev_samp(F.col(f"`{c}`")).over(w), F.lit(0.0))) for c in sensors
     }
-    return ordered.rolling(moved, values, partition, order, before=window - 1, layout=layout, max_rows=max_rows)
+    return ordered.rolling(moved, values, partition, order, before=window - 1, layout=layout, task_rows=task_rows)
 
 
 def rolling_sum(
     df: DataFrame, col: str, order: list[str], window: int, partition: list[str] | None = None, name: str | None = None,
-    max_rows: int | None = None,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Trailing sum over ``window`` rows; without partition the frame runs over the whole ordered table."""
     name = name or f"{col}_sum"
     return ordered.rolling(
-        df, {name: lambda w: F.sum(F.col(f"`{col}`")).over(w)}, partition or [], order, before=window - 1, max_rows=max_rows
+        df, {name: lambda w: F.sum(F.col(f"`{col}`")).over(w)}, partition or [], order, before=window - 1, task_rows=task_rows
     )
 
 
-def time_delta(df: DataFrame, ts: str, partition: list[str] | None = None, name: str = "delta_seconds", max_rows: int | None = None) -> DataFrame:
+def time_delta(df: DataFrame, ts: str, partition: list[str] | None = None, name: str = "delta_seconds", task_rows: int | None = None) -> DataFrame:
     """Seconds since the previous row of the group; 0 on the first."""
     previous = lambda w: F.max(micros(ts)).over(w.rowsBetween(-1, -1))
-    lagged = ordered.rolling(df, {"_previous": previous}, partition or [], [ts], before=1, max_rows=max_rows)
+    lagged = ordered.rolling(df, {"_previous": previous}, partition or [], [ts], before=1, task_rows=task_rows)
     gap = F.coalesce((micros(ts) - F.col("_previous")) / F.lit(1e6), F.lit(0.0))
     return lagged.withColumn(name, gap).drop("_previous")
 
 
-def max_gap(df: DataFrame, ts: str, partition: list[str] | None = None, max_rows: int | None = None) -> DataFrame:
+def max_gap(df: DataFrame, ts: str, partition: list[str] | None = None, task_rows: int | None = None) -> DataFrame:
     """Largest time step, overall or per group."""
-    return time_delta(df, ts, partition, "_gap", max_rows).groupBy(*(partition or [])).agg(F.max("_gap").alias("max_gap_seconds"))
+    return time_delta(df, ts, partition, "_gap", task_rows).groupBy(*(partition or [])).agg(F.max("_gap").alias("max_gap_seconds"))
 
 
-def cumulative_sum(df: DataFrame, col: str, order: list[str], partition: list[str] | None = None, name: str | None = None, max_rows: int | None = None) -> DataFrame:
-    return ordered.running_sum(df, {name or f"{col}_cum": F.col(f"`{col}`")}, partition or [], order, max_rows=max_rows)
+def cumulative_sum(df: DataFrame, col: str, order: list[str], partition: list[str] | None = None, name: str | None = None, task_rows: int | None = None) -> DataFrame:
+    return ordered.running_sum(df, {name or f"{col}_cum": F.col(f"`{col}`")}, partition or [], order, task_rows=task_rows)
 
 
-def row_position(df: DataFrame, order: list[str], partition: list[str] | None = None, name: str = "pos", max_rows: int | None = None) -> DataFrame:
+def row_position(df: DataFrame, order: list[str], partition: list[str] | None = None, name: str = "pos", task_rows: int | None = None) -> DataFrame:
     """0-based row position in the stated order."""
     if partition:
-        return ordered.row_in_group(df, partition, order, name, max_rows=max_rows)
-    return ordered.place_rows(df, order, name, max_rows)
+        return ordered.row_in_group(df, partition, order, name, task_rows=task_rows)
+    return ordered.place_rows(df, order, name, task_rows)
 
 
 def sliding_sequences(
@@ -92,7 +92,7 @@ def sliding_sequences(
     length: int,
     n: int | None = None,
     seed: int = 0,
-    max_rows: int | None = None,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Windows of ``length`` consecutive rows per turbine: ``X`` holds their features, ``y`` the last row's target.
 
@@ -100,7 +100,7 @@ def sliding_sequences(
     leaves it out. With ``n`` that many starts per turbine are drawn, by seeded hash; otherwise
     every start is returned.
     """
-    placed = ordered.row_in_group(df, [partition], order, "start", max_rows=max_rows)
+    placed = ordered.row_in_group(df, [partition], order, "start", task_rows=task_rows)
     vector = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
     rows = ordered.rolling(
         placed,
@@ -112,7 +112,7 @@ def sliding_sequences(
         order,
         before=length - 1,
         after=1,
-        max_rows=max_rows,
+        task_rows=task_rows,
     )
     full = rows.filter((F.col("start") >= length - 1) & (F.col("_followed") == 1))
     out = full.select(partition, (F.col("start") - (length - 1)).alias("start"), "X", F.col(f"`{target}`").alias("y"))

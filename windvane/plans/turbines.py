@@ -111,7 +111,7 @@ class Setup:
     costs: dict = field(default_factory=lambda: dict(evaluation.COSTS))
     models: dict | None = None
     threads: int = 3
-    max_rows: int | None = None
+    task_rows: int | None = None
 
     def sensors_of(self, component: str, columns: list[str]) -> list[str]:
         """A component's sensors in alphabetical order, which is the order of its feature vector."""
@@ -128,13 +128,13 @@ class Setup:
 def measured(signals: DataFrame, failures: DataFrame, setup: Setup) -> ordered.Layout | None:
     """Size of the turbines' histories, taken once from keys and times and used by every later scan."""
     both = signals.select(setup.key, setup.ts).unionByName(failures.select(setup.key, setup.ts))
-    return ordered.measure(both, [setup.key], [setup.ts], setup.max_rows)
+    return ordered.measure(both, [setup.key], [setup.ts], setup.task_rows)
 
 
 def daily_layout(layout: ordered.Layout | None, setup: Setup) -> ordered.Layout | None:
     """Layout of the daily (or hourly) rows."""
     step = MICROS_PER_DAY if setup.period == "day" else MICROS_PER_DAY // 24
-    return layout.per_period("Date", step, setup.max_rows) if layout else None
+    return layout.per_period("Date", step, setup.task_rows) if layout else None
 
 
 def _few_failures(failures: DataFrame, key: str) -> bool:
@@ -174,7 +174,7 @@ def daily_labelled(
         dated = listed.withColumns({f"_next_{n}": ahead(n) for n in names})
     else:
         values = {f"_next_{n}": F.when(F.col(f"_fail_{n}") == 1, F.col(ts)) for n in names}
-        dated = ordered.known(joined, values, [key], [ts], "next", layout, setup.max_rows)
+        dated = ordered.known(joined, values, [key], [ts], "next", layout, setup.task_rows)
     at = F.to_date(ts) if setup.period == "day" else floor_hour(ts)
     parts = []
     for n in names:
@@ -201,7 +201,7 @@ def component_table(daily: DataFrame, component: str, setup: Setup, layout: orde
 
 
 def rolling_table(daily: DataFrame, sensors: list[str], setup: Setup, layout: ordered.Layout | None = None) -> DataFrame:
-    return add_rolling_features(daily, sensors, [setup.key], ["Date"], setup.window, layout, setup.max_rows)
+    return add_rolling_features(daily, sensors, [setup.key], ["Date"], setup.window, layout, setup.task_rows)
 
 
 def split_table(table: DataFrame, component: str, setup: Setup) -> tuple[DataFrame, DataFrame]:
@@ -251,9 +251,9 @@ def train(signals: DataFrame, failures: DataFrame, setup: Setup) -> Trained:
     scalers = {c: d[1] for c, d in done.items()}
     predictions = reduce(DataFrame.unionByName, [d[2] for d in done.values()])
     savings = evaluation.savings_metric(
-        predictions, "component", [setup.key, "Date"], days=setup.alarm_days, costs=setup.costs, max_rows=setup.max_rows
+        predictions, "component", [setup.key, "Date"], days=setup.alarm_days, costs=setup.costs, task_rows=setup.task_rows
     )
-    metrics = evaluation.classification_metrics(predictions, "y_test", "y_pred", "score", ["component"], setup.max_rows)
+    metrics = evaluation.classification_metrics(predictions, "y_test", "y_pred", "score", ["component"], setup.task_rows)
     return Trained(fitted, scalers, predictions, savings, metrics)
 
 
@@ -275,8 +275,8 @@ def score(signals: DataFrame, trained_models: dict, scalers: dict, setup: Setup)
     columns = [c for c in signals.columns if c not in (setup.key, setup.ts)]
     needed = sorted({c for n in trained_models for c in setup.sensors_of(n, columns)})
     chosen = signals.select(setup.key, setup.ts, *needed)
-    layout = ordered.measure(chosen, [setup.key], [setup.ts], setup.max_rows)
-    filled = backfill(chosen, needed, [setup.ts], [setup.key], layout, setup.max_rows)
+    layout = ordered.measure(chosen, [setup.key], [setup.ts], setup.task_rows)
+    filled = backfill(chosen, needed, [setup.ts], [setup.key], layout, setup.task_rows)
     daily = group_by_period(filled, [setup.key], setup.ts, setup.period, cols=needed)
     table = rolling_table(daily, needed, setup, daily_layout(layout, setup))
     scaled = {}
