@@ -7,12 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from windvane.operators import aggregates, bins, evaluation, joins, labels, nulls, windows
+from windvane.operators import aggregates, bins, evaluation, joins, labels, neighbours, nulls, windows
 from windvane.plans import queries_columns as columns
 from windvane.plans import queries_models as quality
 from windvane.plans import queries_tables as tables
-from windvane.plans.registry import SQL, failures, load, query, r, signals
-from windvane.plans.registry import COMPONENTS
+from windvane.plans.registry import COMPONENTS, SQL, failures, load, query, r, signals
 
 
 def _same_as(name):
@@ -123,3 +122,10 @@ def _(spark, sf):
     s = signals(spark, sf).select("event_id", *tables.KEYS)
     out = joins.join_horizon(s, f, "Turbine_ID", lower=2, upper=4, broadcast_bytes=0)
     return out.select("event_id", "Turbine_ID", "failure_id", "Component", "days_to_failure")
+
+
+@_same_as("m6_knn_classify")
+def _(spark, sf):
+    train, test = quality._halves(spark, sf)
+    out = neighbours.knn_classify(train, test, "x", "label", "vec_id", ["vec_id"], 5, block_rows=64, chunk_rows=64)
+    return out.select("vec_id", "prediction", r("share").alias("share"))

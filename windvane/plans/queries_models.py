@@ -282,8 +282,7 @@ _KNN_SQL = """pairs AS (SELECT q.vec_id, t.vec_id AS tid, t.label,
 )
 def _(spark, sf):
     train, test = _halves(spark, sf)
-    # small blocks, so that the partitioned search is what runs
-    out = neighbours.knn_classify(train, test, "x", "label", "vec_id", ["vec_id"], 5, block_rows=64, chunk_rows=64)
+    out = neighbours.knn_classify(train, test, "x", "label", "vec_id", ["vec_id"], 5)
     return out.select("vec_id", "prediction", r("share").alias("share"))
 
 
