@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from windvane.llm.common import load
+from windvane.llm.languages import language_id
+from windvane.llm.quality import quality_scores
+from windvane.llm.rules import quality_rules
+from windvane.llm.secrets import secret_scan
 from windvane.llm.simhash import simhash_near_dups
 from windvane.llm.vectors import vector_near_dups
 
@@ -24,11 +28,21 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_quality_scores")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), folds=5, fold=0, cut=0.3)
+
+
 @query("op2_simhash_near_dups")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dups(load(spark, sf_dir, "documents"), "doc_id", "text", shingle=4, max_bits=4)
 
 
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(load(spark, sf_dir, "documents"), "doc_id", "text", "lang", folds=4, fold=2)
+
+
 @query(
     "op4_vector_near_dups",
     """
@@ -52,3 +66,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_near_dups(load(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", cosine=0.93)
+
+
+@query("op5_quality_rules")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(load(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("op6_secret_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(load(spark, sf_dir, "documents"), "doc_id", "text")
