@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import types
 from collections.abc import Iterator
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windvane.session import cut_lineage
+from windvane.session import cut_lineage, shared_dir
 
 # Bytes of text that a task turns into arrays at a time; one longer text is a slice of its own.
 SLICE_BYTES = 4 * 1024 * 1024
@@ -27,6 +28,18 @@ def worker_cache(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def write_shared(spark: SparkSession, name: str, data: bytes) -> str:
+    """Writes a small file into the shared folder, whatever file system that is on, and returns its path."""
+    path = os.path.join(shared_dir(spark), name)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return path
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut by rows so that a slice holds about ``limit`` bytes of text, or one row."""
     for batch in batches:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from windvane.llm import bpe
 from windvane.llm.common import load
 from windvane.llm.languages import language_id
+from windvane.llm.pieces import token_counts
 from windvane.llm.quality import quality_scores
 from windvane.llm.rules import quality_rules
 from windvane.llm.secrets import secret_scan
@@ -76,3 +80,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_secret_scan")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(load(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("op7_bpe_round_trip")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = load(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(docs, path, bpe.build_lexicon(docs, path), "doc_id", "text")
+    return bpe.decode(encoded, path, "ids", "decoded").select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), "doc_id", "text", limit=4096)
