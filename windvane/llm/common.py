@@ -83,7 +83,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Rounds of large-star and small-star: each hangs every node below the smallest neighbour seen, so paths
     shrink exponentially. Only edges move, at most one per node and neighbour; nothing reaches the driver but a
-    count and a checksum per round. Each round is checkpointed.
+    count and a checksum per round. Each round is checkpointed, and so are the smallest neighbours, so that
+    adaptive execution can split the edges of a node that very many others hang on.
     """
     edges = cut_lineage(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
@@ -97,9 +98,10 @@ def components(edges: DataFrame) -> DataFrame:
             )
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = cut_lineage(large)
+        least = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut_lineage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
 
