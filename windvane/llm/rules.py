@@ -170,23 +170,22 @@ def estimate(patterns: dict[str, int], rules: int, rounds: int = 50) -> Accuraci
 
 
 def with_measures(docs: DataFrame, text_column: str) -> DataFrame:
-    """``docs`` with the struct ``__n`` of all counts."""
+    """``docs`` with the struct ``__n`` of all counts, and ``__votes``, a character for each rule."""
     rows = docs.withColumn("__m", measures(F.col(f"`{text_column}`")))
     m = {
         "n_words": "__m.w.n_words", "word_chars": "__m.w.word_chars", "n_symbols": "__m.n_symbols", "n_repeat_words": "__m.w.n_repeat_words",
         "n_stop": "__m.w.n_stop", "n_plain": "__m.w.n_plain", "n_capitals": "__m.n_capitals", "n_shouts": "__m.n_shouts", "n_lines": "__m.l.n_lines",
     }
-    return rows.select(
-        "*", F.struct(*[F.col(v).alias(k) for k, v in m.items()], (F.col("__m.l.n_lines") - F.col("__m.l.different")).alias("n_dup_lines")).alias("__n")
-    ).drop("__m")
+    counts = [F.col(v).alias(k) for k, v in m.items()]
+    rows = rows.withColumn("__n", F.struct(*counts, (F.col("__m.l.n_lines") - F.col("__m.l.different")).alias("n_dup_lines"))).drop("__m")
+    return rows.withColumn("__votes", F.concat(*[r.vote().cast("string") for r in RULES]))
 
 
 def judged(rows: DataFrame, cut: float = 0.5) -> DataFrame:
-    """Rows with the struct ``__n`` of counts, with ``__votes``, ``__posterior``, ``__base_failed`` and ``__kept`` added.
+    """Rows with counts and votes, with ``__posterior``, ``__base_failed`` and ``__kept`` added.
 
-    The vote patterns are counted in a pass of their own, so the counts should be stored.
+    The vote patterns are counted in a pass of their own, so the rows should be stored.
     """
-    rows = rows.withColumn("__votes", F.concat(*[r.vote().cast("string") for r in RULES]))
     patterns = {r["__votes"]: r["n"] for r in rows.groupBy("__votes").agg(F.count("*").alias("n")).collect()}
     posterior = 1 / (1 + F.exp(-estimate(patterns, len(RULES)).log_odds(F.col("__votes"))))
     failed = (F.col("__n.n_words") < 20) | (100 * F.col("__n.n_repeat_words") > 30 * F.col("__n.n_words"))
@@ -200,7 +199,7 @@ def quality_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     A null text has no words and fails; an empty table gives an empty result; repeated rows are judged alike and counted each;
     other columns are not read. ``base_failed`` texts (under 20 words, or over 30 % of words in repeated windows) are never kept.
     """
-    rows = with_measures(docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("__text")), "__text").select("__id", "__n")
+    rows = with_measures(docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("__text")), "__text").select("__id", "__n", "__votes")
     counts = [F.col(f"__n.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     verdict = [F.col(f"__{c}").alias(c) for c in ("base_failed", "kept", "posterior", "votes")]
     return judged(cut_lineage(rows)).select(F.col("__id").alias(id_column), *counts, *verdict)
