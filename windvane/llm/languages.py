@@ -183,3 +183,17 @@ def language_id(
     return identify_languages(rows, model).select(
         F.col("id").alias(id_column), "held_out", "lang_pred", F.col("lang_score").alias("score"), F.col("lang_set").alias("languages")
     )
+
+
+def keep_known(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", least: float = 0.4, folds: int = 4, fold: int = 2) -> DataFrame:
+    """The rows of ``docs`` with a language, with their columns unchanged.
+
+    A text is rejected when it has no letter, or when no language holds at least ``least`` of its words. Without any labelled row nothing can be learned
+    and only texts without a letter are rejected.
+    """
+    model = fit_languages(docs.where(~held_out(id_column, folds, fold)), text_column, lang_column)
+    judged = identify_languages(docs, model, text_column, prefix="__lang_")
+    fine = (F.col("__lang_pred") != UNKNOWN) & (F.col("__lang_score") >= least)
+    if not model[0]:
+        fine = F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False))
+    return judged.where(fine).select(*[F.col(f"`{c}`") for c in docs.columns])

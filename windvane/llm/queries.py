@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from windvane.llm import bpe
 from windvane.llm.common import load
 from windvane.llm.languages import language_id
+from windvane.llm.licenses import license_scan
+from windvane.llm.packing import pack
 from windvane.llm.pieces import token_counts
 from windvane.llm.quality import quality_scores
 from windvane.llm.rules import quality_rules
@@ -93,6 +95,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_license_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(load(spark, sf_dir, "documents"), "doc_id", "text")
+    lists = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *lists, "score", "spans")
+
+
+@query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), "doc_id", "text", window=2048, end=1, with_ids=False).drop("ids")
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), "doc_id", "text", limit=4096)

@@ -160,8 +160,13 @@ def secret_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
 
 
-def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", mark: str = "[secret]", margin: float = MARGIN) -> DataFrame:
-    """``docs`` with every span of a secret replaced by ``mark`` (touching or overlapping spans by one); rows without one are unchanged."""
+def redact(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length_column: str | None = None, mark: str = "[secret]", margin: float = MARGIN
+) -> DataFrame:
+    """``docs`` with every span of a secret replaced by ``mark`` (touching or overlapping spans by one).
+
+    ``length_column`` gets the new number of characters. Rows without a secret, null texts among them, are unchanged.
+    """
     rows = with_spans(docs, markov_ratio(labelled_tokens(docs, id_column, text_column)), text_column, margin)
 
     def step(state: Column, s: Column) -> Column:
@@ -174,4 +179,9 @@ def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         return F.concat(state["out"], F.substring(F.col(f"`{text_column}`"), state["at"] + 1, F.length(F.col(f"`{text_column}`"))))
 
     clean = F.aggregate("__spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, finish)
-    return rows.withColumn(text_column, F.when(F.size("__spans") > 0, clean).otherwise(F.col(f"`{text_column}`"))).drop("__base", "__spans")
+    found = F.size("__spans") > 0
+    rows = rows.withColumn("__clean", F.when(found, clean).otherwise(F.col(f"`{text_column}`")))
+    if length_column:
+        kind = docs.schema[length_column].dataType
+        rows = rows.withColumn(length_column, F.when(found, F.length("__clean").cast(kind)).otherwise(F.col(f"`{length_column}`")))
+    return rows.withColumn(text_column, F.col("__clean")).select(*[F.col(f"`{c}`") for c in docs.columns])

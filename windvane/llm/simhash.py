@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windvane.llm.common import components, forest, text_slices
-from windvane.session import cut_lineage
+from windvane.session import broadcast_if_small, cut_lineage
 
 PAGE_KEYS = 8192
 FRONTIER = 1 << 21  # node pairs expanded at a time
@@ -272,3 +272,17 @@ def simhash_near_dups(
     return rows.join(named, "fp").select(
         F.col("id").alias(id_column), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def first_of_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """One row of every component, with its columns unchanged: the one with the smallest id (rows without id come last).
+
+    Rows are told apart by their place in ``docs``, so repeated rows and ids are dropped like other copies. ``docs`` must give the
+    same rows in the same places when it is read again, as a stored table does. The rows to drop are broadcast when they were
+    measured small; otherwise the rows are joined by place.
+    """
+    placed = docs.withColumn("__place", F.monotonically_increasing_id())
+    order = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), F.col("__place").alias("place"))
+    found = simhash_near_dups(placed.select(order.alias("row"), F.col(text_column).alias("text")), "row", "text", shingle, max_bits)
+    dropped = cut_lineage(found.where(F.col("row") != F.col("component_id")).select(F.col("row.place").alias("__place")))
+    return placed.join(broadcast_if_small(dropped), "__place", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
