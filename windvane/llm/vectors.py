@@ -28,7 +28,7 @@ from windvane.session import cut_lineage
 BLOCK = 1024  # points of a block; two blocks are all a task holds
 LEAF = 16  # points below which a node is not cut further
 MAX_PIVOTS = 4096  # over all labels; cells beyond BLOCK points are dealt into more blocks
-_SLACK = 1e-9
+_SLACK = 1e-7  # of a chord: for almost equal vectors its rounding error is the root of that of the product
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
