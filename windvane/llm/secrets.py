@@ -24,7 +24,7 @@ NAMES = [k[0] for k in KINDS] + ["random"]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 STATES = len(ALPHABET) + 1  # and the start
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
-MARGIN = 12.0  # natural logarithm of how much likelier random must be
+MARGIN = 8.0  # natural logarithm of how much likelier random must be
 DIFFERENT = 8  # characters a random string has at least
 SAMPLE_DOCS = 2000  # rows whose words are the sample of ordinary identifiers, at most
 SAMPLE_RANDOM = 2000  # strings made from digests, the sample of random ones
