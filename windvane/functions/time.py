@@ -1,4 +1,4 @@
-"""Time expressions. All of them stay JVM-side and expect a UTC session clock."""
+"""Time expressions. All of them stay JVM-side; they raise on a session clock other than UTC."""
 
 from __future__ import annotations
 
@@ -9,12 +9,24 @@ MICROS_PER_MINUTE = 60_000_000
 MICROS_PER_DAY = 86_400_000_000
 
 
+_UTC = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "Zulu", "UCT", "+00:00", "UTC+00:00", "GMT+0", "GMT0"}
+
+
+def require_utc() -> None:
+    """Raises when the session clock is not UTC: times without zone would be read on another clock and move."""
+    session = SparkSession.getActiveSession()
+    zone = session.conf.get("spark.sql.session.timeZone") if session else "UTC"
+    if zone not in _UTC:
+        raise ValueError(f"the session clock is {zone}; set spark.sql.session.timeZone to UTC")
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
 def micros(col: Column | str) -> Column:
     """Microseconds since the epoch of a timestamp with or without zone."""
+    require_utc()
     return F.unix_micros(_c(col).cast("timestamp"))
 
 
@@ -28,6 +40,7 @@ def to_utc_naive(col: Column | str, cut: int | None = None) -> Column:
     ``cut`` keeps only that many leading characters, which drops the zone text instead of
     applying it. Text that is not a timestamp becomes null.
     """
+    require_utc()
     if cut is not None:
         return F.try_to_timestamp(F.substring(_c(col), 1, cut)).cast("timestamp_ntz")
     return F.try_to_timestamp(_c(col)).cast("timestamp_ntz")

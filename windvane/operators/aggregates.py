@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 from windvane.functions.time import floor_hour
 from windvane.operators.ordered import quantiles, running_sum
 
+# A column counts as constant when its squared spread is below this share of its squared sum.
+NO_SPREAD = 1e-12
+
 
 def numeric_columns(df: DataFrame, without: list[str] | tuple[str, ...] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in without]
@@ -120,32 +123,22 @@ def describe(df: DataFrame, cols: list[str], exact: bool = False) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every column pair (long form), over the rows where both values are present.
 
-    A few columns are one aggregate. Many columns would need thousands of them, so each task adds up
-    the product sums of all pairs as matrices and only those sums are shuffled.
+    One formula for any number of columns: each task adds up the product sums of all pairs as matrices and
+    only those sums are shuffled. A pair has no correlation (null) when one of its columns has no spread over
+    the rows they share, apart from rounding; else it lies between -1 and 1.
     """
-    return _pairwise(df, cols) if len(cols) <= 16 else _product_sums(df, cols)
+    return _product_sums(df, cols)
 
 
 def _present_number(name: str) -> Column:
     return F.nanvl(F.col(f"`{name}`").cast("double"), F.lit(None).cast("double"))
 
 
-def _pairwise(df: DataFrame, cols: list[str]) -> DataFrame:
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    num = _present_number
-    parts = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(num(a), num(b)).alias("corr")).alias(f"p{i}")
-        for i, (a, b) in enumerate(pairs)
-    ]
-    long = df.agg(*parts).select(F.explode(F.array(*[F.col(f"p{i}") for i in range(len(pairs))])).alias("p")).select("p.*")
-    mirrored = long.filter(F.col("a") != F.col("b")).select(F.col("b").alias("a"), F.col("a").alias("b"), "corr")
-    return long.unionByName(mirrored)
-
-
 def _product_sums(df: DataFrame, cols: list[str]) -> DataFrame:
     num = [_present_number(c).alias(f"c{i}") for i, c in enumerate(cols)]
-    means = df.agg(*[F.avg(c) for c in num]).first()  # one number per column; sums around it keep their digits
-    shift = np.array([0.0 if m is None else m for m in means])
+    # one number per column; sums around it keep their digits, and a constant column becomes exactly zero
+    centre = lambda c: F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.avg(c))
+    shift = np.array([0.0 if m is None else m for m in df.agg(*[centre(_present_number(c)) for c in cols]).first()])
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros((4, len(cols), len(cols)))
@@ -166,9 +159,10 @@ def _product_sums(df: DataFrame, cols: list[str]) -> DataFrame:
     )
     total = partial.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     n = F.col("n")
-    spread = lambda s, ss: F.col(ss) - F.try_divide(F.col(s) * F.col(s), n)
+    left = lambda s, ss: F.col(ss) - F.try_divide(F.col(s) * F.col(s), n)
+    spread = lambda s, ss: F.when(left(s, ss) > F.col(ss) * NO_SPREAD, left(s, ss))
     together = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
-    corr = F.try_divide(together, F.sqrt(F.greatest(spread("sx", "sxx"), F.lit(0.0)) * F.greatest(spread("sy", "syy"), F.lit(0.0))))
+    corr = F.try_divide(together, F.sqrt(spread("sx", "sxx") * spread("sy", "syy")))
     names = F.array(*[F.lit(c) for c in cols])
     at = lambda i: F.get(names, F.col(i).cast("int"))
     clipped = F.when(corr.isNotNull(), F.greatest(F.least(corr, F.lit(1.0)), F.lit(-1.0)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,7 +104,8 @@ def join_asof(
     (``forward``), or the closer of both (``nearest``, the earlier one on a tie).
 
     Both sides are merged into one ordered scan, so no pair outside the result is ever built and a
-    group of any size is cut into blocks. Beyond the tolerance the right columns are null.
+    group of any size is cut into blocks. Beyond the tolerance the right columns are null, and so they are
+    for left rows without a time or without one of the ``by`` keys.
     """
     by = list(by or [])
     right_ts = right_ts or ts
@@ -117,7 +120,10 @@ def join_asof(
         chosen = F.when(ahead.isNull() | (back <= ahead), F.col("_backward")).otherwise(F.col("_forward"))
     else:
         chosen = F.col(f"_{direction}")
-    out = out.withColumn("_chosen", chosen)
+    placed = F.col(ts).isNotNull()
+    for b in by:
+        placed = placed & F.col(f"`{b}`").isNotNull()
+    out = out.withColumn("_chosen", F.when(placed, chosen))
     if tolerance_minutes is not None:
         gap = F.abs(micros(F.col(ts)) - micros(F.col("_chosen._at")))
         out = out.withColumn("_chosen", F.when(gap <= F.lit(int(tolerance_minutes * MICROS_PER_MINUTE)), F.col("_chosen")))
@@ -142,9 +148,9 @@ def join_horizon(
 ) -> DataFrame:
     """Every failure that lies ``lower`` to ``upper`` days (rounded to 2 decimals) after a signal row.
 
-    A measured-small failure log is broadcast and the range sits in the join condition. Otherwise
-    each failure is listed under the calendar days it can match and both sides meet on (key, day):
-    no task sees a whole turbine.
+    Each failure is listed under the calendar days it can match and both sides meet on (key, day), so
+    a signal tests only failures near it and no task sees a whole turbine. A list measured small is broadcast.
+    ``lower`` may be negative: failures before the signal. Rows without key or time match nothing.
     """
     right = failures.select(
         F.col(key).alias("_key"),
@@ -153,19 +159,13 @@ def join_horizon(
     )
     days = days_between(F.col(ts), F.col("failure_ts"), 2)
     condition = (F.col(key) == F.col("_key")) & days.between(lower, upper)
-    left = signals
-    if is_small(right, broadcast_bytes):
-        right = F.broadcast(right)
-    else:
-        fail_day = F.to_date("failure_ts")
-        right = right.withColumn(
-            "_day",
-            F.explode(
-                F.sequence(F.date_sub(fail_day, int(upper) + 2), F.date_sub(fail_day, max(int(lower) - 2, 0)), F.expr("INTERVAL 1 DAY"))
-            ),
-        )
-        left = signals.withColumn("_signal_day", F.to_date(ts))
-        condition = condition & (F.col("_signal_day") == F.col("_day"))
+    # d days lie between two instants and floor(d) to ceil(d) between their dates; rounding widens the range by half a hundredth
+    fail_day, first, last = F.to_date("failure_ts"), math.ceil(upper + 0.005), math.floor(lower - 0.005)
+    offsets = F.sequence(F.lit(min(first, last)), F.lit(first))
+    right = right.filter(fail_day.isNotNull()).withColumn("_day", F.explode(F.transform(offsets, lambda n: F.date_sub(fail_day, n))))
+    right = broadcast_if_small(right, broadcast_bytes)
+    left = signals.withColumn("_signal_day", F.to_date(ts))
+    condition = condition & (F.col("_signal_day") == F.col("_day"))
     return left.join(right, condition, "inner").withColumn(name, days).drop("_key", "_day", "_signal_day")
 
 

@@ -124,6 +124,14 @@ def _(spark, sf):
     return out.select("event_id", "Turbine_ID", "failure_id", "Component", "days_to_failure")
 
 
+@query("j7_join_horizon_from_zero_by_day", SQL["j7_join_horizon_from_zero"])
+def _(spark, sf):
+    f = failures(spark, sf).withColumnRenamed("event_id", "failure_id")
+    s = signals(spark, sf).select("event_id", *tables.KEYS)
+    out = joins.join_horizon(s, f, "Turbine_ID", lower=0, upper=1, broadcast_bytes=0)
+    return out.select("event_id", "Turbine_ID", "failure_id", "Component", "days_to_failure")
+
+
 @_same_as("m6_knn_classify")
 def _(spark, sf):
     train, test = quality._halves(spark, sf)

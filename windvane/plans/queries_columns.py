@@ -79,7 +79,7 @@ def _write_telemetry(spark, sf, folder):
     "s4_ingest_signals",
     """SELECT user_id AS Turbine_ID, time_bucket(INTERVAL '10 minutes', ts) AS Timestamp, event_id,
          first_value(CASE WHEN event_type <> 'error' THEN value END IGNORE NULLS) OVER (
-           PARTITION BY user_id ORDER BY time_bucket(INTERVAL '10 minutes', ts), event_id
+           PARTITION BY user_id ORDER BY ts, event_id
            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS value
        FROM events""",
 )
@@ -92,17 +92,23 @@ def _(spark, sf):
 @query(
     "s5_ingest_all",
     f"""WITH {FAILURES_SQL}, logs AS (
-        SELECT time_bucket(INTERVAL '10 minutes', ts) AS Timestamp, user_id AS Turbine_ID, event_type AS Remark FROM events)
-        SELECT 'failures' AS tbl, Timestamp, Turbine_ID, Component AS detail FROM failures
-        UNION ALL SELECT 'logs', Timestamp, Turbine_ID, Remark FROM logs
-        UNION ALL SELECT 'signals', Timestamp, Turbine_ID, 'Turbine_ID,Timestamp,event_id,value' FROM logs""",
+        SELECT time_bucket(INTERVAL '10 minutes', ts) AS Timestamp, user_id AS Turbine_ID, event_type AS Remark FROM events),
+        filled AS (SELECT time_bucket(INTERVAL '10 minutes', ts) AS Timestamp, user_id AS Turbine_ID, first_value(
+          CASE WHEN event_type <> 'error' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
+          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS value FROM events)
+        SELECT 'failures' AS tbl, Timestamp, Turbine_ID, Component AS detail, NULL::DOUBLE AS value FROM failures
+        UNION ALL SELECT 'logs', Timestamp, Turbine_ID, Remark, NULL FROM logs
+        UNION ALL SELECT 'signals', Timestamp, Turbine_ID, 'Turbine_ID,Timestamp,event_id,value', value FROM filled""",
 )
 def _(spark, sf):
     paths, schemas = _write_telemetry(spark, sf, scratch_path(spark, "telemetry"))
-    t = files.ingest_all(spark, paths, schemas)
-    part = lambda name, detail: t[name].select(F.lit(name).alias("tbl"), "Timestamp", "Turbine_ID", detail.alias("detail"))
-    columns = F.lit(",".join(t["signals"].columns))
-    return part("failures", F.col("Component")).unionByName(part("logs", F.col("Remark"))).unionByName(part("signals", columns))
+    t = files.ingest_all(spark, paths, schemas, order=["Timestamp", "event_id"])
+    nothing = F.lit(None).cast("double")
+    part = lambda name, detail, value=nothing: t[name].select(
+        F.lit(name).alias("tbl"), "Timestamp", "Turbine_ID", detail.alias("detail"), value.alias("value")
+    )
+    signals_ = part("signals", F.lit(",".join(t["signals"].columns)), F.col("value"))
+    return part("failures", F.col("Component")).unionByName(part("logs", F.col("Remark"))).unionByName(signals_)
 
 
 @query("s6_read_indexed_csv", "SELECT * FROM part")

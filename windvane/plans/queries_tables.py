@@ -122,6 +122,19 @@ def _(spark, sf):
     return out.select("event_id", "Turbine_ID", "failure_id", "Component", "days_to_failure")
 
 
+_FROM_ZERO_SQL = f"""WITH {SIGNALS_SQL}, {FAILURES_SQL} SELECT s.event_id, s.Turbine_ID, f.event_id AS failure_id, Component,
+        round_even((epoch_us(f.Timestamp) - epoch_us(s.Timestamp)) / 86400000000.0, 2) AS days_to_failure
+        FROM signals s JOIN failures f ON s.Turbine_ID = f.Turbine_ID
+        WHERE round_even((epoch_us(f.Timestamp) - epoch_us(s.Timestamp)) / 86400000000.0, 2) BETWEEN 0 AND 1"""
+
+
+@query("j7_join_horizon_from_zero", _FROM_ZERO_SQL)
+def _(spark, sf):
+    f = failures(spark, sf).withColumnRenamed("event_id", "failure_id")
+    out = joins.join_horizon(signals(spark, sf).select("event_id", *KEYS), f, "Turbine_ID", lower=0, upper=1)
+    return out.select("event_id", "Turbine_ID", "failure_id", "Component", "days_to_failure")
+
+
 @query(
     "j8_cross_grid",
     """WITH t AS (SELECT DISTINCT date_trunc('hour', ts) AS Timestamp FROM events)
@@ -543,6 +556,19 @@ def _(spark, sf):
 
 @query(
     "l8_one_hot_remarks",
+    "SELECT event_id, "
+    + ", ".join(f"""(event_id % 20 = {i})::INT AS "Remark_{m}" """ for i, m in enumerate(labels.REMARKS))
+    + f" FROM events WHERE event_id % 20 < {len(labels.REMARKS)}",
+)
+def _(spark, sf):
+    """Every event carries one of the listed remarks, or one that is not listed."""
+    listed = F.array(*[F.lit(m) for m in labels.REMARKS])
+    remark = F.coalesce(F.get(listed, (F.col("event_id") % 20).cast("int")), F.lit("another remark"))
+    return labels.one_hot_remarks(load(spark, sf, "events").select("event_id", remark.alias("Remark")), ["event_id"])
+
+
+@query(
+    "l8_one_hot_listed",
     """SELECT event_id, (event_type = 'click')::INT AS event_type_click, (event_type = 'error')::INT AS event_type_error
        FROM events WHERE event_type IN ('click', 'error')""",
 )

@@ -137,12 +137,14 @@ def daily_layout(layout: ordered.Layout | None, setup: Setup) -> ordered.Layout
     return layout.per_period("Date", step, setup.task_rows) if layout else None
 
 
-def _few_failures(failures: DataFrame, key: str) -> bool:
+def _few_failures(failures: DataFrame, setup: Setup) -> bool:
     """Whether each turbine's failures fit a short list and all lists together a broadcast."""
-    per = failures.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    row = per.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("turbines"), F.sum("n").alias("all")).first()
-    # a list entry takes 8 bytes, a turbine's row with its five lists less than 300
-    return (row["most"] or 0) <= MAX_LISTED and 300 * row["turbines"] + 8 * (row["all"] or 0) <= MAX_BROADCAST_BYTES
+    name = F.max(F.octet_length(F.col(setup.key).cast("string")))
+    per = failures.groupBy(setup.key).agg(F.count(F.lit(1)).alias("n"))
+    row = per.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("turbines"), F.sum("n").alias("all"), name.alias("name")).first()
+    # a list entry takes 8 bytes; a turbine's row its name, and less than 48 for each component's list
+    rows = row["turbines"] * (48 * (len(setup.components) + 1) + (row["name"] or 0))
+    return (row["most"] or 0) <= MAX_LISTED and rows + 8 * (row["all"] or 0) <= MAX_BROADCAST_BYTES
 
 
 def daily_labelled(
@@ -151,9 +153,11 @@ def daily_labelled(
     """One row per turbine and day: per component the averaged sensors, TTF, label and failure flag.
 
     Columns are named ``<component>__<column>``. A (turbine, day) on which a component has no row
-    of its own has nulls there; ``component_table`` drops them.
+    of its own has nulls there; ``component_table`` drops them. Rows without a turbine or a time belong to no
+    history and are left out.
     """
     key, ts = setup.key, setup.ts
+    signals, failures = (t.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()) for t in (signals, failures))
     if setup.turbines is not None:
         signals = signals.filter(F.col(key).isin(list(setup.turbines)))
         failures = failures.filter(F.col(key).isin(list(setup.turbines)))
@@ -164,7 +168,7 @@ def daily_labelled(
     flags = failures.groupBy(key, ts).agg(*[F.max(case_flag(of_component[n])).alias(f"_fail_{n}") for n in names])
     left = signals.select(key, ts, *[F.col(f"`{c}`") for c in needed]).withColumn("_signal", F.lit(1))
     joined = join_outer_rare(left, flags, [key, ts]).na.fill(0, subset=["_signal", *[f"_fail_{n}" for n in names], *needed])
-    if _few_failures(failures, key):
+    if _few_failures(failures, setup):
         # every turbine's short failure list goes to the rows: the raw signals are not shuffled at all
         lists = failures.groupBy(key).agg(
             *[F.array_sort(F.collect_set(F.when(of_component[n], F.col(ts)))).alias(f"_all_{n}") for n in names]
@@ -239,7 +243,7 @@ def train(signals: DataFrame, failures: DataFrame, setup: Setup) -> Trained:
         model = models.fit_component_model(scaled, component, features, "label", [setup.key, "Date"], setup.models)
         found = model.predict(scaling.apply_scaler(test_rows, stats, features), [setup.key, "Date"])
         truth = test_rows.select(setup.key, "Date", "TTF", F.col("label").alias("y_test"))
-        rated = truth.join(found, [setup.key, "Date"]).select(
+        rated = truth.join(found, [setup.key, "Date"], "left").select(
             F.lit(component).alias("component"), setup.key, "Date", "TTF", "y_test", F.col("prediction").alias("y_pred"), "score"
         )
         return model, stats, cut_lineage(rated)
