@@ -8,6 +8,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 tokenizers = pytest.importorskip("tokenizers")
 
 from windvane.llm import bpe  # noqa: E402
+from windvane.llm.words import chunk_of  # noqa: E402
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = tokenizers.Tokenizer.from_file(PATH)
@@ -39,19 +40,16 @@ def test_awkward_texts(spark):
 
 
 def test_chunks_never_cut_a_pre_token():
+    import pyarrow as pa
+
     rng = random.Random(2)
     model = bpe.ByteBpe(PATH)
-    for _ in range(3000):
-        text = "".join(rng.choice(PARTS) for _ in range(rng.randrange(10))).replace("<|endoftext|>", "")
+    texts = ["".join(rng.choice([*PARTS, "\x00", " \x00a"]) for _ in range(rng.randrange(10))).replace("<|endoftext|>", "") for _ in range(3000)]
+    keys, counts = model.split(pa.array(texts))
+    keys = iter(keys.to_pylist())
+    for text, n in zip(texts, counts.tolist(), strict=True):
         want = [text[a:b] for _, (a, b) in LIBRARY.pre_tokenizer.pre_tokenize_str(text)]
-        assert [w for c in bpe.chunks(text) for w in model.words(c)] == want
-
-
-def test_long_words_merge_like_short_ones():
-    model, rng = bpe.ByteBpe(PATH), random.Random(3)
-    for _ in range(200):
-        word = "".join(rng.choice("abcdeghint") for _ in range(rng.randrange(1, 60))).encode()
-        assert model._merge_long([model.byte_id[b] for b in word]) == model.merge(word)
+        assert [w for _ in range(n) for w in model.words(chunk_of(next(keys)))] == want
 
 
 def test_transducer():

@@ -8,6 +8,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 sentencepiece = pytest.importorskip("sentencepiece")
 
 from windvane.llm import pieces  # noqa: E402
+from windvane.llm.words import chunk_of  # noqa: E402
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PATH)
@@ -35,10 +36,14 @@ def test_awkward_texts(spark):
 
 
 def test_pieces_of_words_add_up():
+    import pyarrow as pa
+
     rng = random.Random(2)
-    for _ in range(5000):
-        text = "".join(rng.choice(PARTS) for _ in range(rng.randrange(12)))
-        words = [w for c in pieces.chunks(text) for w in pieces.pre_tokens(c)]
+    texts = ["".join(rng.choice([*PARTS, "\x00", " \x00a"]) for _ in range(rng.randrange(12))) for _ in range(5000)]
+    keys, counts = pieces.split(pa.array(texts))
+    keys = iter(keys.to_pylist())
+    for text, n in zip(texts, counts.tolist(), strict=True):
+        words = [w for _ in range(n) for w in pieces.pre_tokens(chunk_of(next(keys)))]
         assert (pieces.count_pieces(PATH, words).sum() if words else 0) == len(LIBRARY.encode(text))
 
 

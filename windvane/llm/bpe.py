@@ -3,13 +3,11 @@
 Words of the texts are counted over the whole corpus. The most frequent ones, with the ids that the merges give
 them, become an automaton in which equal suffixes are shared: its arcs carry numbers whose sum along a word is the
 word's place in the list of id sequences. The file is sent to every executor and mapped into memory there.
-Words it does not hold are merged exactly, so the ids never depend on what the lexicon holds.
+Words it does not hold are merged exactly (by the library's merges), so the ids never depend on what the lexicon holds.
 """
 
 from __future__ import annotations
 
-import heapq
-import json
 import mmap
 import os
 import struct
@@ -23,12 +21,14 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import text_slices, texts, worker_cache, write_shared
-from windvane.llm.words import WordTable, kept_table, spread, word_counts
+from windvane.llm.common import text_slices, worker_cache, write_shared
+from windvane.llm.words import WordTable, chunk_of, most_frequent, split_keys, spread, word_counts
+from windvane.session import cut_lineage
 
 LEXICON_WORDS = 1 << 16
 LEXICON_BYTES = 48  # longer words are not put into the lexicon
-_AMBIGUOUS = regex.compile(r" \s| $")
+# White space after a space, or a space at the end: such texts are not cut at their spaces alone (RE2).
+_ODD = r" [\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]| $"
 _CHUNK = regex.compile(r" ?\S+|\s+(?!\S)|\s+")
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -41,98 +41,49 @@ def byte_characters() -> dict[int, str]:
 
 
 class ByteBpe:
-    """Vocabulary and merges of a tokenizer file."""
+    """A tokenizer file: its pre-tokens, merges and the bytes of its ids."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        model = spec["model"]
-        vocab, chars = model["vocab"], byte_characters()
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.byte_id = [vocab[chars[b]] for b in range(256)]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, pair in enumerate(model["merges"]):
-            a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
-        back = {c: b for b, c in chars.items()}
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.chars = byte_characters()
+        self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        back = {c: b for b, c in self.chars.items()}
+        vocab = self.library.get_vocab(with_added_tokens=False)
         every = {i: bytes(back[c] for c in token) for token, i in vocab.items()} | {i: c.encode() for c, i in self.special.items()}
         sizes = [len(every.get(i, b"")) for i in range(max(every) + 1)]
         self.token_size = np.array(sizes, np.int64)
         self.token_start = np.cumsum(self.token_size) - self.token_size
         self.token_bytes = np.frombuffer(b"".join(every.get(i, b"") for i in range(len(sizes))), np.uint8)
-        self._library = None
-        self._path = path
+        self.border = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def words(self, chunk: str) -> list[str]:
         """Pre-tokens of a chunk. Beyond U+0500 the classes of characters are the library's own."""
         if chunk.isascii() or max(chunk) < "Ԁ":
             return _WORD.findall(chunk)
-        if self._library is None:
-            from tokenizers import Tokenizer
-
-            self._library = Tokenizer.from_file(self._path)
-        return [chunk[a:b] for _, (a, b) in self._library.pre_tokenizer.pre_tokenize_str(chunk)]
-
-    def merge(self, word: bytes) -> list[int]:
-        """Ids of one word: of all neighbours the pair with the lowest rank is merged, leftmost first, until none is left."""
-        ids = [self.byte_id[b] for b in word]
-        if len(ids) > 64:
-            return self._merge_long(ids)
-        merges = self.merges
-        while len(ids) > 1:
-            best, new = None, 0
-            for pair in zip(ids, ids[1:]):  # noqa: B905
-                found = merges.get(pair)
-                if found is not None and (best is None or found[0] < best):
-                    best, new, which = found[0], found[1], pair
-            if best is None:
-                break
-            out, i, last = [], 0, len(ids) - 1
-            while i <= last:
-                if i < last and ids[i] == which[0] and ids[i + 1] == which[1]:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
-        return ids
-
-    def _merge_long(self, ids: list[int]) -> list[int]:
-        """The same with a heap, for words of any length."""
-        after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
-        heap = []
-
-        def offer(i: int) -> None:
-            j = after[i]
-            if j >= 0 and (found := self.merges.get((ids[i], ids[j]))) is not None:
-                heapq.heappush(heap, (found[0], i, ids[i], ids[j], found[1]))
-
-        for i in range(len(ids) - 1):
-            offer(i)
-        while heap:
-            _, i, a, b, new = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] != a or j < 0 or ids[j] != b:
-                continue
-            ids[i], ids[j], after[i] = new, -1, after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-            if before[i] >= 0:
-                offer(before[i])
-            offer(i)
-        return [x for x in ids if x >= 0]
+        return [chunk[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+
+    def merge(self, word: str) -> list[int]:
+        """Ids of one pre-token by the library's merges."""
+        if word.isascii() and word.isprintable():
+            plain = word.replace(" ", self.chars[32])
+        else:
+            plain = "".join([self.chars[b] for b in word.encode()])
+        return [t.id for t in self.library.model.tokenize(plain)]
 
     def bytes_of(self, ids: np.ndarray) -> np.ndarray:
         return self.token_bytes[spread(self.token_start[ids], self.token_size[ids])]
 
+    def chunks(self, text: str) -> list[str]:
+        """A text cut at special tokens and before spaces that belong to the next word, which never cuts a pre-token."""
+        pieces = self.border.split(text) if self.border else [text]
+        return [c for piece in pieces for c in ([piece] if piece in self.special else _CHUNK.findall(piece))]
 
-def chunks(text: str) -> list[str]:
-    """A text cut before spaces that belong to the next word, which never cuts a pre-token."""
-    if _AMBIGUOUS.search(text):
-        return _CHUNK.findall(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + c for c in rest]] if first else [" " + c for c in rest]
+    def split(self, column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Keys of chunks, see :func:`split_keys`."""
+        odd = "|".join([_ODD, *map(regex.escape, self.special)])
+        return split_keys(column, odd, self.chunks, spaced=False)
 
 
 class Transducer:
@@ -217,6 +168,10 @@ class Transducer:
         return place
 
 
+def _word_list(model: ByteBpe, chunk: str) -> list[str]:
+    return [chunk] if chunk in model.special else model.words(chunk)
+
+
 def _model(path: str) -> ByteBpe:
     models = worker_cache("byte_bpe")
     if path not in models:
@@ -235,15 +190,16 @@ def _lexicon(name: str) -> Transducer:
 
 
 def build_lexicon(docs: DataFrame, path: str, text_column: str = "text", words: int = LEXICON_WORDS) -> str:
-    """Counts the words of all texts, compiles the ``words`` most frequent ones and sends the file to the executors.
+    """Counts the words of all texts, compiles the most frequent ones (that occur twice or more) and sends the file to the executors.
 
     Returns the file's name; the file lies in the shared folder, from which also later executors get it. At most ``words`` words of ``LEXICON_BYTES`` bytes reach the driver.
     """
     spark, model = docs.sparkSession, _model(path)
-    # the function travels to the tasks, the model is read there
-    counted = word_counts(docs, text_column, chunks, lambda chunk: _model(path).words(chunk))
-    common = counted.where(F.octet_length("word") <= LEXICON_BYTES).orderBy(F.desc("n"), "word").limit(words).select("word").toPandas()["word"]
-    file = Transducer.compiled({w.encode(): model.merge(w.encode()) for w in common})
+    # the functions travel to the tasks, the model is read there
+    counted = word_counts(docs, text_column, lambda column: _model(path).split(column), lambda chunk: _word_list(_model(path), chunk))
+    counted = cut_lineage(counted.where((F.col("n") > 1) & (F.octet_length("word") <= LEXICON_BYTES)))
+    common = most_frequent(counted, words).select("word").toPandas()["word"]
+    file = Transducer.compiled({w.encode(): model.merge(w) for w in common if w not in model.special})
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     spark.sparkContext.addFile(write_shared(spark, name, file))
     return name
@@ -255,43 +211,29 @@ def encode(docs: DataFrame, path: str, lexicon: str, id_column: str = "doc_id",
     Null and empty texts have no ids; repeated rows are encoded alike; an empty table gives an empty result.
     """
 
-    def resolve(new: list[str]) -> Iterator[np.ndarray]:
-        model = _model(path)
-        lists = [[c] if c in model.special else model.words(c) for c in new]
+    def resolve(keys: list[str]) -> tuple[list[int], list[int]]:
+        model, found = _model(path), _lexicon(lexicon)
+        lists = [_word_list(model, chunk_of(k)) for k in keys]
         distinct = list(dict.fromkeys(w for words in lists for w in words))
-        found = _lexicon(lexicon)
-        raw = [w.encode() for w in distinct]
-        ids: dict[str, np.ndarray] = {}
-        for word, data, place in zip(distinct, raw, found.places(raw).tolist(), strict=True):
-            if word in model.special:
-                ids[word] = np.array([model.special[word]], np.int32)
-            elif place >= 0:
-                ids[word] = found.ids[found.start[place] : found.start[place + 1]]
+        places = found.places([w.encode() for w in distinct])
+        start, listed = found.start.tolist(), found.ids.tolist()
+        ids: dict[str, list[int]] = {}
+        for word, place in zip(distinct, places.tolist(), strict=True):
+            if place >= 0:
+                ids[word] = listed[start[place] : start[place + 1]]
             else:
-                ids[word] = np.array(model.merge(data), np.int32)
-        for words in lists:
-            yield ids[words[0]] if len(words) == 1 else np.concatenate([ids[w] for w in words])
+                ids[word] = [model.special[word]] if word in model.special else model.merge(word)
+        every = [ids[words[0]] if len(words) == 1 else [i for w in words for i in ids[w]] for words in lists]
+        return list(map(len, every)), [i for x in every for i in x]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        special = _model(path).special
-        border = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        table = kept_table(f"bpe {path}", lambda: WordTable(resolve))
-        table.resolve = resolve
+        model, table = _model(path), WordTable(resolve)
         for part in text_slices(batches, "text"):
-            words, counts = [], []
-            for text in texts(part.column("text")):
-                if border and border.search(text):
-                    mine = [c for piece in border.split(text) for c in ([piece] if piece in special else chunks(piece))]
-                else:
-                    mine = chunks(text)
-                words += mine
-                counts.append(len(mine))
-            rows = table.rows(words)
-            ids = table.numbers(rows)
+            words, counts = model.split(part.column("text"))
+            rows = table.rows_of(words)
             ends = np.concatenate([[0], np.cumsum(table.size[rows])])[np.concatenate([[0], np.cumsum(counts)])]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))], ["id", "ids"]
-            )
+            ids = pa.array(table.numbers(rows))
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids)], ["id", "ids"])
 
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

@@ -14,19 +14,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import text_slices, texts, worker_cache
-from windvane.llm.words import WordTable, kept_table, spread
+from windvane.llm.bpe import byte_characters
+from windvane.llm.common import text_slices, worker_cache
+from windvane.llm.words import TABLE_WORDS, WordTable, spread
 
-SHARD_DOCS = 4096
-SHARD_TOKENS = 1 << 23  # a shard ends with the document that passes this
+SHARD_DOCS = 2048
+SHARD_TOKENS = 1 << 22  # a shard ends with the document that passes this
 QUERY_WORDS = 16  # words of a seed with the largest weights
+SENT_TOKENS = 1 << 19  # ids that leave a task at a time
 K1, B = 1.2, 0.75
-_ODD = regex.compile("[\x1c-\x1f]|<\\|")  # characters that only Python takes for white space, and what special tokens begin with
+_BYTES = byte_characters()
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
@@ -41,8 +44,29 @@ def _tokenizer(path: str):
     return held[path]
 
 
-def _ids(path: str, strings: list[str]) -> list[list[int]]:
-    return [e.ids for e in _tokenizer(path).encode_batch(strings, add_special_tokens=False)] if strings else []
+def word_ids(path: str, words: list[str], known: dict[str, list[int]]) -> Iterator[list[int]]:
+    """Ids of words without ASCII white space, as the library gives them.
+
+    Up to U+012F the library's normalisation is lower case alone and its classes of characters are those of ``regex``, so a word is cut into its
+    parts here and the library's model merges each different part once, as long as ``known`` holds it. Other words, and words that may hold a special token, go
+    through the whole library.
+    """
+    tokenizer = _tokenizer(path)
+    tokenize = tokenizer.model.tokenize
+    if len(known) > TABLE_WORDS:
+        known.clear()
+    for word in words:
+        plain = word.isascii()
+        if "<|" in word or not (plain or max(word) < "İ"):
+            yield tokenizer.encode(word, add_special_tokens=False).ids
+            continue
+        low = word.lower()
+        parts = (low,) if plain and low.isalpha() else _WORD.findall(low)
+        for part in parts:
+            if part not in known:
+                same = part.isascii() and part.isprintable()
+                known[part] = [t.id for t in tokenize(part if same else "".join([_BYTES[b] for b in part.encode()]))]
+        yield known[parts[0]] if len(parts) == 1 else [i for part in parts for i in known[part]]
 
 
 class Index:
@@ -141,71 +165,65 @@ def pack(
     if window & (window - 1):
         raise ValueError("the window must be a power of two")
 
-    def resolve(new: list[str]) -> Iterator[np.ndarray]:
-        """A hash of the word, then its ids; words are cut as the library cuts them, and each different part is encoded once."""
-        parts_of = [_WORD.findall(w.lower()) if w.isascii() or max(w) < "İ" else [w] for w in new]
-        known = worker_cache(f"parts {path}")
-        if len(known) > 600_000:
-            known.clear()
-        unseen = list({p for parts in parts_of for p in parts if p not in known})
-        known.update(zip(unseen, (np.array(ids, np.int32) for ids in _ids(path, unseen)), strict=True))
-        for word, parts in zip(new, parts_of, strict=True):
-            name = np.array([zlib.crc32(word.encode()) - (1 << 31)], np.int32)
-            yield np.concatenate([name, *[known[p] for p in parts]])
-
-    def packed(ids: np.ndarray, sizes: np.ndarray, words: np.ndarray, counts: np.ndarray, keys: pa.Array, number: int):
-        table, sequences = fill(sizes, Index(words, counts), window)
+    def resolve(new: list[str], known: dict[str, list[int]]) -> tuple[list[int], list[int]]:
+        """A hash of each word, then its ids."""
+        sizes, numbers = [], []
+        for word, ids in zip(new, word_ids(path, new, known), strict=True):
+            sizes.append(len(ids) + 1)
+            numbers.append(zlib.crc32(word.lower().encode()) - (1 << 31))
+            numbers += ids
+        return sizes, numbers
+
+    def packed(ids: np.ndarray, sizes: np.ndarray, table: np.ndarray, keys: pa.Array, number: int) -> Iterator[pa.RecordBatch]:
+        """The pieces of one shard, in batches of bounded size."""
         begin = np.cumsum(sizes) - sizes
-        doc, start, n, sequence, offset = table.T
-        at = begin[doc] + start
-        data = ids.astype("<u4").tobytes()
-        crc = [zlib.crc32(data[a:b]) for a, b in zip((4 * at).tolist(), (4 * (at + n)).tolist(), strict=True)]
-        if with_ids:
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids[spread(at, n)]))
-        else:
-            lists = pa.nulls(len(n), pa.list_(pa.int32()))
-        columns = [keys.take(pa.array(doc)), *map(pa.array, (start, n, sizes[doc], sequence + number, offset)), pa.array(crc, pa.int64()), lists]
-        names = ["id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids_crc32", "ids"]
-        return pa.RecordBatch.from_arrays(columns, names), sequences
+        data = memoryview(ids.astype("<u4", copy=False)).cast("B")
+        cuts = np.flatnonzero(np.diff(np.cumsum(table[:, 2]) // SENT_TOKENS, prepend=0))
+        for rows in np.split(table, cuts):
+            if not len(rows):
+                continue
+            doc, start, n, sequence, offset = rows.T
+            at = begin[doc] + start
+            crc = [zlib.crc32(data[a:b]) for a, b in zip((4 * at).tolist(), (4 * (at + n)).tolist(), strict=True)]
+            if with_ids:
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids[spread(at, n)]))
+            else:
+                lists = pa.nulls(len(n), pa.list_(pa.int32()))
+            columns = [keys.take(pa.array(doc)), *map(pa.array, (start, n, sizes[doc], sequence + number, offset)), pa.array(crc, pa.int64()), lists]
+            names = ["id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids_crc32", "ids"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = kept_table(f"packing {path}", lambda: WordTable(resolve))
-        table.resolve = resolve
+        known: dict[str, list[int]] = {}
+        table = WordTable(lambda new: resolve(new, known))
         number, held, keys = TaskContext.get().partitionId() << 32, [], []
 
-        def shard() -> pa.RecordBatch:
+        def shard() -> Iterator[pa.RecordBatch]:
             nonlocal number, held, keys
             ids, sizes, words, counts = (np.concatenate(x) for x in zip(*held, strict=True))
-            batch, sequences = packed(ids, sizes, words, counts, pa.chunked_array(keys).combine_chunks(), number)
-            number, held, keys = number + sequences, [], []
-            return batch
+            held = []
+            rows, sequences = fill(sizes, Index(words, counts), window)
+            yield from packed(ids, sizes, rows, pa.chunked_array(keys).combine_chunks(), number)
+            number, keys = number + sequences, []
 
         for part in text_slices(batches, "text"):
-            words, counts, whole = [], [], {}
-            for row, text in enumerate(texts(part.column("text"))):
-                if _ODD.search(text):
-                    whole[row] = text
-                    text = ""
-                mine = text.split()
-                words += mine
-                counts.append(len(mine))
-            rows, counts = table.rows(words), np.array(counts, np.int64)
+            column = part.column("text")
+            column = column.fill_null("") if column.null_count else column
+            if not pc.any(pc.match_substring(column, "<|")).as_py():  # else capitals may tell a special token from other text
+                column = pc.ascii_lower(column)
+            words = pc.ascii_split_whitespace(column)
+            counts = words.value_lengths().to_numpy().astype(np.int64)
+            rows = table.rows_of(words.flatten())
             names = table.flat[table.start[rows]]
             ids = table.flat[spread(table.start[rows] + 1, table.size[rows] - 1)]
             ends = np.concatenate([[0], np.cumsum(table.size[rows] - 1)])[np.cumsum(counts)]
             sizes = np.diff(ends, prepend=0)
-            if whole:  # encoded by the library as a whole; without words for the index
-                lists = dict(zip(whole, _ids(path, list(whole.values())), strict=True))
-                cut = np.split(ids, ends[:-1])
-                cut = [np.array(lists[r], np.int32) if r in lists else x for r, x in enumerate(cut)]
-                ids, sizes = np.concatenate(cut), np.array([len(x) for x in cut], np.int64)
-                ends = np.cumsum(sizes)
             held.append((np.insert(ids, ends, end), sizes + 1, names, counts))
             keys.append(part.column("id"))
             if sum(len(h[1]) for h in held) >= shard_docs or sum(len(h[0]) for h in held) >= shard_tokens:
-                yield shard()
+                yield from shard()
         if held:
-            yield shard()
+            yield from shard()
 
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

@@ -14,11 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import text_slices, texts, worker_cache
-from windvane.llm.words import WordTable, spread, sums, word_counts
+from windvane.llm.common import text_slices, worker_cache
+from windvane.llm.words import TABLE_WORDS, WordTable, chunk_of, most_frequent, split_keys, spread, sums, word_counts
 from windvane.session import cut_lineage
 
 FREQUENT = 1 << 18  # pre-tokens sent to all tasks, each of at most FREQUENT_CHARS characters
@@ -26,7 +27,7 @@ FREQUENT_CHARS = 32
 SPACE = "▁"  # the model's own sign for a space
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"  # Latin; all other characters are the other kind
 _CUT = re.compile(f" *[{_LETTERS}]+| *[^ {_LETTERS}]+| +")
-_PLAIN = re.compile("  |^ | $")
+_ODD = "  |^ | $|^$"  # texts that are not cut at their spaces alone
 
 
 def _processor(path: str):
@@ -53,15 +54,9 @@ def separable(path: str) -> bool:
     return model.encode(" ", out_type=str) == [SPACE * 2] and model.encode("\n", out_type=str) == [SPACE, "<0x0A>"]
 
 
-def chunks(text: str) -> list[str]:
-    """A text, with the space the model puts before it, cut before its spaces; the model's sign for a space is one."""
-    if not text:
-        return []
-    if SPACE in text:
-        text = text.replace(SPACE, " ")
-    if _PLAIN.search(text):
-        return _CUT.findall(" " + text)
-    return [" " + c for c in text.split(" ")]
+def split(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Keys of chunks, see :func:`split_keys`; the model puts a space before a text, and its own sign for a space is one."""
+    return split_keys(pc.replace_substring(column, SPACE, " "), _ODD, lambda text: pre_tokens(" " + text) if text else [], spaced=True)
 
 
 def pre_tokens(chunk: str) -> list[str]:
@@ -88,7 +83,7 @@ def piece_table(docs: DataFrame, path: str, text_column: str = "text") -> DataFr
                     [*part.columns, pa.array(count_pieces(path, words[at : at + 4096]))], ["word", "n", "pieces"]
                 )
 
-    return word_counts(docs, text_column, chunks, pre_tokens).mapInArrow(run, "word string, n long, pieces int")
+    return word_counts(docs, text_column, split, pre_tokens).mapInArrow(run, "word string, n long, pieces int")
 
 
 def token_counts(
@@ -102,7 +97,7 @@ def token_counts(
     if not separable(path):
         raise ValueError("pieces of this model cross the borders of words; count it with the library")
     table = cut_lineage(piece_table(docs, path, text_column))
-    top = table.where(F.length("word") <= FREQUENT_CHARS).orderBy(F.desc("n"), "word").limit(frequent).select("word", "pieces").toPandas()
+    top = most_frequent(table.where(F.length("word") <= FREQUENT_CHARS), frequent).select("word", "pieces").toPandas()
     known_words, known_pieces = top["word"].to_numpy(object), top["pieces"].to_numpy(np.int32)
     shared = docs.sparkSession.sparkContext.broadcast((known_words, known_pieces))  # at most frequent * FREQUENT_CHARS characters
 
@@ -110,32 +105,31 @@ def token_counts(
         known = dict(zip(*(x.tolist() for x in shared.value), strict=True))
         rare: list[str] = []  # number of a word that is joined, per chunk table
 
-        def resolve(new: list[str]) -> Iterator[np.ndarray]:
+        def resolve(new: list[str]) -> tuple[list[int], list[int]]:
             """Pieces of the frequent words of a chunk, then its other words as numbers."""
+            sizes, numbers = [], []
             for chunk in new:
                 total, others = 0, []
-                for word in pre_tokens(chunk):
+                for word in pre_tokens(chunk_of(chunk)):
                     n = known.get(word)
                     if n is None:
                         others.append(len(rare))
                         rare.append(word)
                     else:
                         total += n
-                yield np.array([total, *others], np.int32)
+                sizes.append(1 + len(others))
+                numbers += [total, *others]
+            return sizes, numbers
 
-        chunk_table = WordTable(resolve, 300_000)
+        chunk_table = WordTable(resolve)
         for part in text_slices(batches, "text"):
-            if len(chunk_table.index) > chunk_table.limit:
+            if len(chunk_table.index) > TABLE_WORDS - 100_000:  # before the table thins itself out, which would not renumber the rare words
                 rare.clear()
                 chunk_table.clear()
-            words, counts = [], []
-            for text in texts(part.column("text")):
-                mine = chunks(text)
-                words += mine
-                counts.append(len(mine))
-            rows = chunk_table.rows(words)
+            words, counts = split(part.column("text"))
+            rows = chunk_table.rows_of(words)
             ids, keys = part.column("id"), part.column("key").to_numpy()
-            base = sums(chunk_table.flat[chunk_table.start[rows]].astype(np.int64), np.array(counts))
+            base = sums(chunk_table.flat[chunk_table.start[rows]].astype(np.int64), counts)
             yield pa.RecordBatch.from_arrays(
                 [part.column("key"), ids, part.column("n_bytes"), pa.array(base), pa.array([str(k) for k in keys]),
                  pa.array(np.zeros(len(keys), np.int32)), pa.array(np.ones(len(keys), np.int64))],
