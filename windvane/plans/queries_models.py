@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windvane.functions.scalar import at_least, case_flag
@@ -207,41 +211,83 @@ def _(spark, sf):
 
 # --- models ------------------------------------------------------------------------------------
 
-_SPECS = {
-    "generator": ("knn", {"k": 5, "weights": "uniform"}),
-    "hydraulic": ("logistic", {"C": 10.0, "max_iter": 100}),
-    "transformer": ("adaboost", {"n_estimators": 5}),
-    "gen_bear": ("knn", {"k": 5, "weights": "distance"}),
-    "gearbox": ("random_forest", {"n_estimators": 20, "max_depth": 8}),
-}
+_ROW = ["Turbine_ID", "Date"]
 
 
-def _setup(components=None):
-    names = components or list(turbines.LOG_COMPONENTS)
+def _setup(**changes):
     return turbines.Setup(
-        components={n: turbines.LOG_COMPONENTS[n] for n in names}, sensors={n: SENSORS for n in names}, training_turbines=None,
-        horizon=8, lower=1, window=5, test_days=10, label_cast="round", models=_SPECS,
+        sensors={n: SENSORS for n in turbines.LOG_COMPONENTS}, training_turbines=None,
+        **{"horizon": 8, "lower": 1, "window": 5, "test_days": 10, "label_cast": "round"} | changes,
     )
 
 
-def _learning(spark, sf):
-    """Scaled training and test rows of one component, and the feature names."""
-    setup = _setup(["generator"])
-    daily = turbines.daily_labelled(wide_signals(spark, sf), failures(spark, sf), setup)
-    table = cut_lineage(turbines.component_table(daily, "generator", setup))
-    features = [c for c in table.columns if c not in ("Turbine_ID", "Date", "TTF", "label", "failure")]
-    train, test = turbines.split_table(table, "generator", setup)
-    return (*scaling.scale_each_column(train, test, features), features)
+def _learning(spark, sf, setup=None):
+    """Per component: scaled training and test rows. And the feature names, the same for all."""
+    setup = setup or _setup()
+    daily = cut_lineage(turbines.daily_labelled(wide_signals(spark, sf), failures(spark, sf), setup))
 
+    def prepare(component):
+        table = cut_lineage(turbines.component_table(daily, component, setup))
+        features = [c for c in table.columns if c not in turbines.not_features(setup)]
+        train, test = turbines.split_table(table, component, setup)
+        return tuple(cut_lineage(t) for t in scaling.scale_each_column(train, test, features)), features
 
-_ROW = ["Turbine_ID", "Date"]
+    with ThreadPoolExecutor(max_workers=5) as pool:
+        found = dict(zip(turbines.LOG_COMPONENTS, pool.map(prepare, turbines.LOG_COMPONENTS), strict=True))
+    return {c: rows for c, (rows, _) in found.items()}, next(iter(found.values()))[1]
+
+
+def _each(components, run):
+    """One frame of what ``run`` gives for every component; their jobs are submitted side by side."""
+    with ThreadPoolExecutor(max_workers=5) as pool:
+        parts = list(pool.map(lambda c: cut_lineage(run(c)).withColumn("component", F.lit(c)), components))
+    return reduce(DataFrame.unionByName, parts)
+
+
+# Test rows of all components with their labels, from the raw tables.
+_TRUTH_SQL = f"""{SIGNALS_SQL}, {FAILURES_SQL},
+     comp AS (SELECT unnest({list(turbines.LOG_COMPONENTS)}) AS component, unnest({list(turbines.LOG_COMPONENTS.values())}) AS logged),
+     f AS (SELECT DISTINCT Timestamp, Turbine_ID, comp.component FROM failures JOIN comp ON failures.Component = comp.logged),
+     joined AS (
+       SELECT c.component, s.Timestamp, s.Turbine_ID, (f.Timestamp IS NOT NULL)::INT AS flag
+       FROM comp c CROSS JOIN signals s
+       LEFT JOIN f ON f.Timestamp = s.Timestamp AND f.Turbine_ID = s.Turbine_ID AND f.component = c.component
+       UNION ALL
+       SELECT component, Timestamp, Turbine_ID, 1 FROM f
+       WHERE NOT EXISTS (SELECT 1 FROM signals s WHERE s.Timestamp = f.Timestamp AND s.Turbine_ID = f.Turbine_ID)),
+     dated AS (SELECT *, coalesce(min(CASE WHEN flag = 1 THEN Timestamp END) OVER (PARTITION BY component, Turbine_ID ORDER BY Timestamp
+       RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), Timestamp) AS date FROM joined),
+     ttf AS (SELECT *, round_even((epoch_us(date) - epoch_us(Timestamp)) / 86400000000.0, 0) AS TTF FROM dated),
+     daily AS (SELECT component, Turbine_ID, Timestamp::DATE AS Date, round_even(avg((TTF BETWEEN 1 AND 8)::INT), 0)::INT AS y8,
+       round_even(avg((TTF BETWEEN 1 AND 20)::INT), 0)::INT AS y20 FROM ttf GROUP BY ALL),
+     ends AS (SELECT component, max_by(Date, (Turbine_ID, Date)) - INTERVAL 10 DAY AS cut FROM daily GROUP BY component),
+     sides AS (SELECT daily.*, CASE WHEN Date >= cut THEN 'test' ELSE 'train' END AS side FROM daily JOIN ends USING (component))"""
+
+
+def _verdict(rated, truth, margin=False):
+    """Keys and label of every row, whether the score is in its range, and whether the decision is that of the score."""
+    fair = F.col("score").isNotNull() if margin else F.col("score").between(0, 1)
+    cut = 0.0 if margin else 0.5
+    agrees = (F.col("prediction") == (F.col("score") > cut).cast("int")) | (F.col("score") == cut)
+    both = truth.select(*_ROW, F.col("label").alias("y_test")).join(rated, _ROW, "left")
+    decided = [F.coalesce(c, F.lit(False)).alias(n) for n, c in (("fair_score", fair), ("decided_by_score", agrees))]
+    return both.select("Turbine_ID", F.col("Date").cast("string").alias("Date"), "y_test", *decided)
+
+
+_VERDICT_SQL = f"""WITH {_TRUTH_SQL} SELECT component, Turbine_ID, Date::VARCHAR AS Date, y8 AS y_test, true AS fair_score, true AS decided_by_score
+       FROM sides WHERE side = 'test'"""
 
 
 def _model_query(kind, **params):
     def make(spark, sf):
-        train, test, features = _learning(spark, sf)
-        model = models.fit(train, kind, features, "label", _ROW, **params)
-        return _text(model.predict(test, _ROW))
+        data, features = _learning(spark, sf)
+
+        def run(component):
+            train, test = data[component]
+            model = models.fit(train, kind, features, "label", _ROW, **params)
+            return _verdict(model.predict(test, _ROW), test, kind == "linear_svc")
+
+        return _each(data, run)
 
     return make
 
@@ -250,18 +296,32 @@ def _text(df):
     return df.withColumn("Date", F.col("Date").cast("string"))
 
 
-@query("m1_fit_component_model")
+@query(
+    "m1_fit_component_model",
+    f"""WITH {_TRUTH_SQL} SELECT component, count(*) AS n, sum(y8)::BIGINT AS positives, true AS metrics_hold, true AS saved
+       FROM sides WHERE side = 'test' GROUP BY component""",
+)
 def _(spark, sf):
+    """The published classifier of every component: test rows and positives, and whether the metrics are those of the predictions."""
     trained = turbines.train(wide_signals(spark, sf), failures(spark, sf), _setup())
-    both = trained.metrics.join(trained.savings.select("component", "tp_savings", "savings"), "component", "left")
-    return both.orderBy("component")
+    hit = (F.col("y_test") == 1) & (F.col("y_pred") == 1)
+    counted = trained.predictions.groupBy("component").agg(
+        F.count("*").alias("n"), F.sum("y_test").alias("positives"), F.count_if(hit).alias("hits"), F.sum("y_pred").alias("alarms")
+    )
+    both = counted.join(trained.metrics.select("component", "precision", "recall"), "component", "left")
+    both = both.join(trained.savings.select("component", "savings"), "component", "left")
+    near = lambda metric, of: F.abs(F.coalesce(metric, F.lit(0.0)) - F.coalesce(F.try_divide("hits", of), F.lit(0.0))) < 1e-9
+    return both.select(
+        "component", "n", F.col("positives").cast("long").alias("positives"),
+        (near(F.col("precision"), F.col("alarms")) & near(F.col("recall"), F.col("positives"))).alias("metrics_hold"), F.col("savings").isNotNull().alias("saved"),
+    )
 
 
-query("m2_logistic_regression")(_model_query("logistic", C=1.0, class_weight="balanced"))
-query("m3_random_forest")(_model_query("random_forest", n_estimators=20, max_depth=6, criterion="entropy", class_weight="balanced"))
-query("m4_gradient_boosting")(_model_query("gradient_boosting", n_estimators=10, learning_rate=0.1))
-query("m5_adaboost")(_model_query("adaboost", n_estimators=10))
-query("m7_linear_svc")(_model_query("linear_svc", C=1.0, max_iter=30))
+query("m2_logistic_regression", _VERDICT_SQL)(_model_query("logistic", C=1.0, class_weight="balanced"))
+query("m3_random_forest", _VERDICT_SQL)(_model_query("random_forest", n_estimators=50, max_depth=6, criterion="entropy", class_weight="balanced"))
+query("m4_gradient_boosting", _VERDICT_SQL)(_model_query("gradient_boosting", n_estimators=50, learning_rate=0.1))
+query("m5_adaboost", _VERDICT_SQL)(_model_query("adaboost", n_estimators=50))
+query("m7_linear_svc", _VERDICT_SQL)(_model_query("linear_svc", C=1.0))
 
 
 def _halves(spark, sf):
@@ -311,57 +371,104 @@ def _(spark, sf):
     return models.stratified_folds(load(spark, sf, "labels"), "quality", ["doc_id"], 5).select("doc_id", "fold")
 
 
-@query("m8_grid_search_cv")
+@query(
+    "m8_grid_search_cv",
+    f"""WITH {_TRUTH_SQL} SELECT component, side, Turbine_ID, Date::VARCHAR AS Date, y8 AS y_true, true AS fair_score FROM sides""",
+)
 def _(spark, sf):
-    train, _test, features = _learning(spark, sf)
-    grid = {"C": [0.01, 10.0], "class_weight": ["balanced", None]}
-    _model, scores = models.grid_search_cv(train, "logistic", features, "label", grid, _ROW, "f1", 5)
-    return scores
+    """The published grid of logistic regression for every component; predictions of the best setting on both sides."""
+    data, features = _learning(spark, sf)
+
+    def run(component):
+        train, test = data[component]
+        model, scores = models.grid_search_cv(train, "logistic", features, "label", models.GRIDS["logistic"], _ROW, "f1", 5)
+        if scores.count() != 8:
+            raise ValueError("a setting was not rated")
+        rated = models.both_sides(model, train, test, "label", _ROW)
+        return rated.select("side", "Turbine_ID", F.col("Date").cast("string").alias("Date"), "y_true", F.col("score").between(0, 1).alias("fair_score"))
 
+    return _each(data, run)
 
-@query("m9_model_matrix")
+
+@query(
+    "m9_model_matrix",
+    f"""WITH {_TRUTH_SQL}, runs AS (SELECT unnest(['Logistic Regression', 'Random Forest', 'Linear SVC']) AS model),
+        long AS (SELECT component, 'label' AS horizon, y8 AS y FROM sides WHERE side = 'test'
+          UNION ALL SELECT component, 'label_20', y20 FROM sides WHERE side = 'test')
+        SELECT component, model, horizon, count(*) AS n, sum(y)::BIGINT AS positives, true AS metrics_hold, true AS saved
+        FROM long CROSS JOIN runs GROUP BY ALL""",
+)
 def _(spark, sf):
-    train, test, features = _learning(spark, sf)
+    """Every component with three models and two horizons; the published cuts decide where there is one."""
+    data, features = _learning(spark, sf, _setup(horizons=(20,)))
     specs = {
         "Logistic Regression": ("logistic", {"C": 1.0}),
-        "Random Forest": ("random_forest", {"n_estimators": 10, "max_depth": 5}),
+        "Random Forest": ("random_forest", {"n_estimators": 50, "max_depth": 5}),
+        "Linear SVC": ("linear_svc", {"C": 1.0}),
     }
-    runs = models.model_matrix({"generator": (train, test)}, specs, ["label"], features, _ROW)
-    rated = evaluation.classification_metrics(runs, "y_test", "y_pred", "score", ["component", "model", "horizon"])
-    saved = evaluation.savings_metric(runs, "component", _ROW, ["model", "horizon"])
-    return rated.join(saved.select("component", "model", "horizon", "savings"), ["component", "model", "horizon"], "left")
+    names = {"logistic": "Logistic Regression", "random_forest": "Random Forest"}
+    horizons = {8: "label", 20: "label_20"}
+    cuts = [(c, names[m], horizons.get(h, f"label_{h}"), cut) for c, m, h, cut in models.THRESHOLDS]
+    thresholds = spark.createDataFrame(cuts, "component string, model string, horizon string, cut double")
+    runs = models.model_matrix(data, specs, list(horizons.values()), features, _ROW, thresholds, threads=6)
+    keys = ["component", "model", "horizon"]
+    hit = (F.col("y_test") == 1) & (F.col("y_pred") == 1)
+    counted = runs.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.sum("y_test").alias("positives"), F.count_if(hit).alias("hits"), F.sum("y_pred").alias("alarms")
+    )
+    rated = evaluation.classification_metrics(runs, "y_test", "y_pred", "score", keys).select(*keys, "precision", "recall")
+    saved = evaluation.savings_metric(runs, "component", _ROW, ["model", "horizon"]).select(*keys, "savings")
+    near = lambda metric, of: F.abs(F.coalesce(metric, F.lit(0.0)) - F.coalesce(F.try_divide("hits", of), F.lit(0.0))) < 1e-9
+    return counted.join(rated, keys, "left").join(saved, keys, "left").select(
+        *keys, "n", F.col("positives").cast("long").alias("positives"),
+        (near(F.col("precision"), F.col("alarms")) & near(F.col("recall"), F.col("positives"))).alias("metrics_hold"), F.col("savings").isNotNull().alias("saved"),
+    )
 
 
-@query("m10_predict_batch")
+@query(
+    "m10_predict_batch",
+    f"""WITH {SIGNALS_SQL}, days AS (SELECT DISTINCT Turbine_ID, Timestamp::DATE::VARCHAR AS Date FROM signals)
+        SELECT component, Turbine_ID, Date, true AS fair_score FROM days, (SELECT unnest({list(turbines.LOG_COMPONENTS)}) AS component)""",
+)
 def _(spark, sf):
-    setup = _setup(["hydraulic", "gearbox"])
+    """The trained models of all components on the daily rows of all signals; the ensembles are smaller than in ``m1``."""
+    smaller = {"transformer": ("adaboost", {"n_estimators": 20}), "gearbox": ("random_forest", {"n_estimators": 50, "max_depth": 10})}
+    setup = _setup(models=smaller)
     s = wide_signals(spark, sf)
     trained = turbines.train(s, failures(spark, sf), setup)
-    return _text(turbines.score(s.na.fill(0, SENSORS), trained.models, trained.scalers, setup))
+    scored = turbines.score(s.na.fill(0, SENSORS), trained.models, trained.scalers, setup)
+    return _text(scored).select("component", "Turbine_ID", "Date", (F.col("score").between(0, 1) & F.col("prediction").isin(0, 1)).alias("fair_score"))
+
+
+_KINDS = {
+    "logistic": {"C": 1.0}, "adaboost": {"n_estimators": 3}, "knn": {"k": 5}, "random_forest": {"n_estimators": 10, "max_depth": 5},
+    "gradient_boosting": {"n_estimators": 5}, "linear_svc": {"C": 1.0},
+}
 
 
 @query(
     "s9_save_model",
-    f"""WITH {SIGNALS_SQL}, {FAILURES_SQL},
-        days AS (SELECT DISTINCT Turbine_ID, Timestamp::DATE AS Date FROM signals
-          UNION SELECT DISTINCT Turbine_ID, Timestamp::DATE FROM failures WHERE Component = 'GENERATOR'),
-        n AS (SELECT count(*) AS n FROM days WHERE Date >= (SELECT max_by(Date, (Turbine_ID, Date)) - INTERVAL 10 DAY FROM days))
-        SELECT kind, n AS rows, n AS same FROM n, (SELECT unnest(['logistic', 'adaboost', 'knn']) AS kind)""",
+    f"""WITH {_TRUTH_SQL} SELECT component, kind, count(*) AS rows, count(*) AS same
+        FROM sides, (SELECT unnest({list(_KINDS)}) AS kind) WHERE side = 'test' GROUP BY ALL""",
 )
 def _(spark, sf):
-    """Test rows, and how many of them the stored and reloaded model predicts as the fitted one does."""
-    train, test, features = _learning(spark, sf)
-    out = None
-    for kind, params in (("logistic", {"C": 1.0}), ("adaboost", {"n_estimators": 3}), ("knn", {"k": 5})):
-        path = scratch_path(spark, f"model-{kind}")
-        model = models.fit(train, kind, features, "label", _ROW, **params)
-        models.save_model(model, path, spark)
-        again = models.load_model(path, spark).predict(test, _ROW).withColumnsRenamed({"prediction": "p", "score": "s"})
-        both = model.predict(test, _ROW).join(again, _ROW)
-        same = (F.col("prediction") == F.col("p")) & (F.abs(F.col("score") - F.col("s")) < 1e-9)
-        part = both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(same).alias("same")).select(F.lit(kind).alias("kind"), "rows", "same")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Test rows, and how many of them the stored and reloaded model predicts as the fitted one does: all kinds, all components."""
+    data, features = _learning(spark, sf)
+
+    def run(component):
+        train, test = data[component]
+        out = []
+        for kind, params in _KINDS.items():
+            path = scratch_path(spark, f"model-{component}-{kind}")
+            model = models.fit(train, kind, features, "label", _ROW, **params)
+            models.save_model(model, path, spark)
+            again = models.load_model(path, spark).predict(test, _ROW).withColumnsRenamed({"prediction": "p", "score": "s"})
+            both = model.predict(test, _ROW).join(again, _ROW)
+            same = (F.col("prediction") == F.col("p")) & (F.abs(F.col("score") - F.col("s")) < 1e-9)
+            out.append(both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(same).alias("same")).select(F.lit(kind).alias("kind"), "rows", "same"))
+        return reduce(DataFrame.unionByName, out)
+
+    return _each(data, run)
 
 
 # --- streams -----------------------------------------------------------------------------------

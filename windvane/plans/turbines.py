@@ -102,6 +102,7 @@ class Setup:
     turbines: list | None = None
     period: str = "day"
     horizon: int = 60
+    horizons: tuple[int, ...] = ()  # further horizons; each adds a column ``label_<days>``
     lower: float = 2
     window: int = 10
     months: int = 3
@@ -188,6 +189,7 @@ def daily_labelled(
         parts += [
             mean(ttf).alias(f"{n}__TTF"),
             mean(case_flag(ttf.between(setup.lower, setup.horizon)).cast("double")).alias(f"{n}__label"),
+            *[mean(case_flag(ttf.between(setup.lower, h)).cast("double")).alias(f"{n}__label_{h}") for h in setup.horizons],
             mean(F.col(f"_fail_{n}").cast("double")).alias(f"{n}__failure"),
             *[mean(F.col(f"`{c}`").cast("double")).alias(f"{n}__{c}") for c in setup.sensors_of(n, columns)],
         ]
@@ -200,8 +202,12 @@ def component_table(daily: DataFrame, component: str, setup: Setup, layout: orde
     own = daily.select(
         setup.key, "Date", *[F.col(f"`{c}`").alias(c[len(prefix):]) for c in daily.columns if c.startswith(prefix)]
     ).filter(F.col("TTF").isNotNull())
-    sensors = [c for c in own.columns if c not in (setup.key, "Date", "TTF", "label", "failure")]
-    return rolling_table(own, sensors, setup, layout)
+    return rolling_table(own, [c for c in own.columns if c not in not_features(setup)], setup, layout)
+
+
+def not_features(setup: Setup) -> tuple[str, ...]:
+    """Columns of a component's table that are no features."""
+    return (setup.key, "Date", "TTF", "label", "failure", *[f"label_{h}" for h in setup.horizons])
 
 
 def rolling_table(daily: DataFrame, sensors: list[str], setup: Setup, layout: ordered.Layout | None = None) -> DataFrame:
@@ -210,8 +216,9 @@ def rolling_table(daily: DataFrame, sensors: list[str], setup: Setup, layout: or
 
 def split_table(table: DataFrame, component: str, setup: Setup) -> tuple[DataFrame, DataFrame]:
     """Training rows (only turbines that failed) and test rows, with an integer label."""
-    y = F.bround("label", 0) if setup.label_cast == "round" else F.col("label")
-    cast = table.withColumn("label", y.cast("int"))
+    labels = ["label", *[f"label_{h}" for h in setup.horizons]]
+    whole = (lambda c: F.bround(c, 0)) if setup.label_cast == "round" else F.col
+    cast = table.withColumns({c: whole(c).cast("int") for c in labels})
     train, test = split_by_months(cast, "Date", setup.months, [setup.key, "Date"], days=setup.test_days)
     if setup.training_turbines is not None:
         train = train.filter(F.col(setup.key).isin(list(setup.training_turbines[component])))
@@ -236,7 +243,7 @@ def train(signals: DataFrame, failures: DataFrame, setup: Setup) -> Trained:
 
     def run(component: str):
         table = component_table(daily, component, setup, daily_layout(layout, setup))
-        features = [c for c in table.columns if c not in (setup.key, "Date", "TTF", "label", "failure")]
+        features = [c for c in table.columns if c not in not_features(setup)]
         train_rows, test_rows = split_table(table, component, setup)
         stats = scaling.fit_scaler(train_rows, features)
         scaled = scaling.apply_scaler(train_rows, stats, features)
