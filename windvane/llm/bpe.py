@@ -21,7 +21,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import text_slices, worker_cache, write_shared
+from windvane.llm.common import text_slices, tidy, worker_cache, write_shared
 from windvane.llm.words import WordTable, chunk_of, most_frequent, split_keys, spread, word_counts
 from windvane.session import cut_lineage
 
@@ -61,7 +61,8 @@ class ByteBpe:
     def words(self, chunk: str) -> list[str]:
         """Pre-tokens of a chunk. Beyond U+0500 the classes of characters are the library's own."""
         if chunk.isascii() or max(chunk) < "Ԁ":
-            return _WORD.findall(chunk)
+            body = chunk[1:] if chunk[:1] == " " else chunk
+            return [chunk] if body.isalpha() else _WORD.findall(chunk)
         return [chunk[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
 
     def merge(self, word: str) -> list[int]:
@@ -237,7 +238,7 @@ def encode(docs: DataFrame, path: str, lexicon: str, id_column: str = "doc_id",
 
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_column)
+    return rows.mapInArrow(tidy(run), f"id {kind}, ids array<int>").withColumnRenamed("id", id_column)
 
 
 def decode(encoded: DataFrame, path: str, ids_column: str = "ids", text_column: str = "decoded") -> DataFrame:
@@ -259,4 +260,4 @@ def decode(encoded: DataFrame, path: str, ids_column: str = "ids", text_column:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], [*part.schema.names, text_column])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, f"{fields}, `{text_column}` string")
+    return encoded.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(tidy(run), f"{fields}, `{text_column}` string")

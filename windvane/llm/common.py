@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,27 @@ def write_shared(spark: SparkSession, name: str, data: bytes) -> str:
     return path
 
 
+def release() -> None:
+    """Gives freed memory back to the system: a Python worker outlives its task, and executors have other work for it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, with the memory released when the task's rows are done."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut by rows so that a slice holds about ``limit`` bytes of text, or one row."""
     for batch in batches:

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import text_slices, worker_cache
+from windvane.llm.common import text_slices, tidy, worker_cache
 from windvane.llm.words import TABLE_WORDS, WordTable, chunk_of, most_frequent, split_keys, spread, sums, word_counts
 from windvane.session import cut_lineage
 
@@ -60,7 +60,8 @@ def split(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def pre_tokens(chunk: str) -> list[str]:
-    return _CUT.findall(chunk)
+    body = chunk[1:] if chunk[:1] == " " else chunk
+    return [chunk] if body.isascii() and body.isalpha() else _CUT.findall(chunk)
 
 
 def count_pieces(path: str, words: list[str]) -> np.ndarray:
@@ -83,7 +84,7 @@ def piece_table(docs: DataFrame, path: str, text_column: str = "text") -> DataFr
                     [*part.columns, pa.array(count_pieces(path, words[at : at + 4096]))], ["word", "n", "pieces"]
                 )
 
-    return word_counts(docs, text_column, split, pre_tokens).mapInArrow(run, "word string, n long, pieces int")
+    return word_counts(docs, text_column, split, pre_tokens).mapInArrow(tidy(run), "word string, n long, pieces int")
 
 
 def token_counts(
@@ -154,7 +155,7 @@ def token_counts(
         F.coalesce(F.octet_length(texts_), F.lit(0)).cast("long").alias("n_bytes"), texts_.alias("text"),
     )
     kind = rows.schema["id"].dataType.simpleString()
-    counted = rows.mapInArrow(run, f"key long, id {kind}, n_bytes long, tokens long, word string, kind int, freq long")
+    counted = rows.mapInArrow(tidy(run), f"key long, id {kind}, n_bytes long, tokens long, word string, kind int, freq long")
     # rows of kind 0 are the documents themselves, with a word of their own; rows of kind 1 are rare words
     joined = counted.join(table.select("word", "pieces", F.lit(1).alias("kind")), ["word", "kind"], "left")
     return (

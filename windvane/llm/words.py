@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import text_slices
+from windvane.llm.common import text_slices, tidy
 
 TABLE_WORDS = 300_000  # distinct words a task remembers; beyond that it keeps those it meets again
 COUNTED_WORDS = 200_000  # distinct words a task counts before it sends them on
@@ -95,18 +95,25 @@ def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - counts]
 
 
+# Where words end for all tokenizers here: a Latin letter before a mark or a line end, and a line end after a
+# mark (or a cut) and before a letter (RE2).
+LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+BEFORE_MARK, AFTER_LINE = f"([{LETTER}])([.,;:!?\\n])", f"([\\x00.,;:!?])\\n([{LETTER}])"
+
+
 def split_keys(column: pa.Array, odd: str, slow: Callable[[str], list[str]], spaced: bool) -> tuple[pa.Array, np.ndarray]:
     """The chunks of all texts of a column as keys, and their number per row.
 
-    A text is cut before every space, and a key is a chunk without that space; a chunk without a space in front
-    (the first one, unless the texts are ``spaced``) has NUL there instead. ``slow`` cuts the texts that hold NUL or
-    match the RE2 pattern ``odd``; see :func:`chunk_of` for the way back.
+    A text is cut before every space, between a letter and a mark or line end, and between a line end after these and a letter. A key is a chunk without
+    the space in front; a chunk that has none (also the first one, unless the texts are ``spaced``) has NUL there instead. ``slow`` cuts
+    the texts that hold NUL or match the RE2 pattern ``odd``; see :func:`chunk_of` for the way back.
     """
     column = (column.fill_null("") if column.null_count else column).cast(pa.large_string())
     if not len(column):
         return pa.array([], pa.large_string()), np.zeros(0, np.int64)
     special = np.flatnonzero(pc.match_substring_regex(column, f"\\x00|{odd}").to_numpy(zero_copy_only=False))
     whole = column if spaced else pc.binary_join_element_wise(pa.scalar("\x00", pa.large_string()), column, pa.scalar("", pa.large_string()))
+    whole = pc.replace_substring_regex(pc.replace_substring_regex(whole, BEFORE_MARK, "\\1 \x00\\2"), AFTER_LINE, "\\1\n \x00\\2")
     lists = pc.split_pattern(whole, " ")
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     if not len(special):
@@ -155,7 +162,7 @@ def word_counts(
         yield from send(counted)
 
     rows = docs.select(F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(tidy(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def most_frequent(counted: DataFrame, words: int) -> DataFrame:
