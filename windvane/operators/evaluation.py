@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from windvane.functions.scalar import case_flag
 from windvane.operators import ordered
+from windvane.session import few_rows
 
 # Costs in EUR per component (replacement, repair, inspection).
 COSTS = {
@@ -46,7 +47,7 @@ def _with_totals(counted: DataFrame, df: DataFrame, y: str, keys: list[str]) ->
     """Class totals of each run, counted on the rows themselves; one small row per run."""
     totals = df.groupBy(*keys).agg(F.count_if(F.col(y) == 1).alias("P"), F.count_if(F.col(y) == 0).alias("N"))
     if keys:
-        return counted.join(totals, keys)
+        return counted.join(few_rows(totals), keys)
     row = totals.first()
     return counted.withColumns({"P": F.lit(row["P"]), "N": F.lit(row["N"])})
 

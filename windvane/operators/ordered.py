@@ -344,7 +344,7 @@ def quantiles(
     )
     if keys:
         totals = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
-        ranked = counted.join(totals, keys)
+        ranked = counted.join(S.few_rows(totals), keys)
     else:
         ranked = counted.withColumn("_total", F.lit(present.count()))
     aggregates = []

@@ -26,6 +26,7 @@ def session(app: str = "windvane", master: str | None = None, **conf: str) -> Sp
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -88,3 +89,13 @@ def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Broadcast hint for a side measured small; otherwise unchanged, so that the join shuffles."""
     return F.broadcast(df) if is_small(df, max_bytes) else df
+
+
+def few_rows(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """A small aggregate, computed once and broadcast; unchanged when it has more than ``most`` rows.
+
+    Meant for one row per group beside the groups' own rows: a join that shuffled on the group alone would gather
+    a large group in one task.
+    """
+    rows = df.limit(most + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= most else df
