@@ -242,19 +242,18 @@ def savings_metric(
         rows, {"_row": F.lit(1).cast("long"), "_alarm": F.col("TP").cast("long")}, runs, rest, layout, task_rows
     )
     alarm = F.col("TP") == 1
-    firsts = tracked.groupBy(*runs).agg(
+    # T of the n-th true alarm: n needs no order, so it is counted first and meets the rows as one small row per run
+    counted = confusion_flags(df, y, pred).groupBy(*runs).agg(F.count_if(F.ceil(ttf) == 1).alias("_failures"), F.sum("TP").alias("_alarms"))
+    wanted = few_rows(counted.select(*runs, F.least("_failures", "_alarms").alias("_wanted")))
+    out = tracked.join(wanted, runs, "left").groupBy(*runs).agg(
         F.max(F.when(F.col(ttf) == 1, F.col("_row"))).alias("last_failure"),
-        F.count_if(F.col(ttf) == 1).alias("failures"),
         F.min(F.when(alarm, F.col("_row"))).alias("first_alarm"),
         F.min(F.when(F.col("FN") == 1, F.col("_row"))).alias("first_miss"),
-        F.max("_alarm").alias("alarms"),
+        F.max(F.when(alarm & (F.col("_alarm") == F.col("_wanted")), F.col(ttf))).alias("T"),
         F.sum("TN").alias("TN"),
         F.count_if((F.col("FP") == 1) & (F.col("new_FP") == 1)).alias("FP"),
     )
-    # T of the n-th true alarm: n is known only now, so the few alarm rows meet their run's row by key
-    wanted = firsts.select(*runs, F.least("failures", "alarms").alias("_alarm"))
-    chosen = tracked.filter(alarm).select(*runs, "_alarm", F.col(ttf).alias("T")).join(wanted, [*runs, "_alarm"])
-    out = firsts.join(chosen.select(*runs, "T"), runs, "left").withColumns(cost_columns(component, costs))
+    out = out.withColumns(cost_columns(component, costs))
     hit = case_flag(F.col("first_alarm") <= F.col("last_failure"))
     miss = case_flag((hit == 0) & (F.col("first_miss") <= F.col("last_failure")))
     spared = F.col("replacement") - (

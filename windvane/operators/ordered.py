@@ -84,7 +84,7 @@ def measure(
     Only the key and order columns are read, and the counts are combined before their shuffle.
     """
     keys, order = tuple(keys), tuple(order)
-    limit = S.MAX_GROUP_ROWS if task_rows is None else task_rows
+    limit = S.group_rows(df, task_rows)
     cuttable = isinstance(df.schema[order[0]].dataType, _CUTTABLE)
     number = _number(df, order[0]) if cuttable else F.lit(0.0)
     number = F.when(F.isnan(number), None).otherwise(number)
@@ -123,7 +123,7 @@ def lay_out(
     layout = measure(df, keys, order, task_rows)
     if layout is not None:
         return df, layout
-    limit = S.MAX_GROUP_ROWS if task_rows is None else task_rows
+    limit = S.group_rows(df, task_rows)
     placed = _place_by_range(df, [*keys, *order], "_place", limit)
     return placed, Layout(tuple(keys), ("_place",), float(limit), null_keys=bool(keys))
 
@@ -157,7 +157,7 @@ def _place_by_range(df: DataFrame, order: list[str], name: str, limit: int) -> D
 
 def place_rows(df: DataFrame, order: list[str], name: str = "pos", task_rows: int | None = None) -> DataFrame:
     """0-based position of every row in a global order (W9 without keys)."""
-    limit = S.MAX_GROUP_ROWS if task_rows is None else task_rows
+    limit = S.group_rows(df, task_rows)
     if df.count() <= limit:
         return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
     return _place_by_range(df, order, name, limit)
@@ -277,7 +277,7 @@ def rolling(
 ) -> DataFrame:
     """Row frame of ``before`` rows back to ``after`` rows ahead; each value gets the frame as a window."""
     before_columns = df.columns
-    limit = S.MAX_GROUP_ROWS if task_rows is None else task_rows
+    limit = S.group_rows(df, task_rows)
     df, layout = _prepare(df, keys, order, layout, task_rows)
     names = [c for c in before_columns if c not in values]
     if layout.whole:

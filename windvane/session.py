@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 # A task may hold this many rows of one ordered group; larger groups are cut into blocks.
 MAX_GROUP_ROWS = 2_000_000
+# ... and no more than this when a value counts as 16 bytes, so that wide rows are cut earlier.
+MAX_GROUP_BYTES = 512 * 1024 * 1024
 # A join side is broadcast only when it was measured below this.
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -91,6 +93,11 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
     return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
+def group_rows(df: DataFrame, task_rows: int | None = None) -> int:
+    """Rows of one ordered group that a task may hold: ``task_rows``, or by the number of columns."""
+    return min(MAX_GROUP_ROWS, MAX_GROUP_BYTES // (16 * (len(df.columns) + 1))) if task_rows is None else task_rows
+
+
 def few_rows(df: DataFrame, most: int = 10_000) -> DataFrame:
     """A small aggregate, computed once and broadcast; unchanged when it has more than ``most`` rows.
 
