@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import SLICE_BYTES, held_out, text_slices, utf8
+from windvane.llm.common import SLICE_BYTES, held_out, text_slices, tidy, utf8
 
 GRAMS = 1 << 16  # hashed n-grams of a language's model
 SMOOTHING = 0.5
@@ -63,7 +63,7 @@ def gram_counts(docs: DataFrame, text_column: str, lang_column: str) -> DataFram
             )
 
     rows = docs.where(F.col(lang_column).isNotNull()).select(F.col(lang_column).cast("string").alias("lang"), _lowered(text_column).alias("text"))
-    return rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(tidy(run), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def fit_languages(docs: DataFrame, text_column: str = "text", lang_column: str = "lang") -> tuple[list[str], np.ndarray]:
@@ -170,7 +170,7 @@ def identify_languages(
         *[F.col(f"`{c}`") for c in kept], _lowered(text_column).alias("__lowered"),
         F.coalesce(F.col(text_column).cast("string").rlike(r"\p{L}"), F.lit(False)).alias("__letters"),
     )
-    return rows.mapInArrow(run, f"{fields}, {added[0]} string, {added[1]} double, {added[2]} array<string>")
+    return rows.mapInArrow(tidy(run), f"{fields}, {added[0]} string, {added[1]} double, {added[2]} array<string>")
 
 
 def language_id(

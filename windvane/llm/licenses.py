@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import text_slices, utf8
+from windvane.llm.common import text_slices, tidy, utf8
 
 # Phrases of whole words and their labels.
 PHRASES = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
@@ -152,4 +152,4 @@ def license_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         f"id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, labels array<string>, "
         "score double, spans array<struct<label: string, start: int, end: int, edits: int>>"
     )
-    return rows.mapInArrow(run, out).withColumnRenamed("id", id_column)
+    return rows.mapInArrow(tidy(run), out).withColumnRenamed("id", id_column)

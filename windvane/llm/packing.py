@@ -21,12 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windvane.llm.bpe import byte_characters
-from windvane.llm.common import text_slices, worker_cache
-from windvane.llm.words import TABLE_WORDS, WordTable, spread
+from windvane.llm.common import text_slices, tidy, worker_cache
+from windvane.llm.words import BEFORE_MARK, WordTable, spread
 
 SHARD_DOCS = 2048
-SHARD_TOKENS = 1 << 22  # a shard ends with the document that passes this
+SHARD_TOKENS = 1 << 21  # a shard ends with the document that passes this
 QUERY_WORDS = 16  # words of a seed with the largest weights
+TASK_WORDS = 150_000  # distinct words a task remembers
 SENT_TOKENS = 1 << 19  # ids that leave a task at a time
 K1, B = 1.2, 0.75
 _BYTES = byte_characters()
@@ -44,29 +45,29 @@ def _tokenizer(path: str):
     return held[path]
 
 
-def word_ids(path: str, words: list[str], known: dict[str, list[int]]) -> Iterator[list[int]]:
+def word_ids(path: str, words: list[str]) -> Iterator[list[int]]:
     """Ids of words without ASCII white space, as the library gives them.
 
     Up to U+012F the library's normalisation is lower case alone and its classes of characters are those of ``regex``, so a word is cut into its
-    parts here and the library's model merges each different part once, as long as ``known`` holds it. Other words, and words that may hold a special token, go
-    through the whole library.
+    parts here and the library's model merges each part. Other words, and words that may hold a special token, go through the whole library.
     """
     tokenizer = _tokenizer(path)
     tokenize = tokenizer.model.tokenize
-    if len(known) > TABLE_WORDS:
-        known.clear()
+    known: dict[str, list[int]] = {}
     for word in words:
         plain = word.isascii()
-        if "<|" in word or not (plain or max(word) < "İ"):
+        if plain and word.isalpha():
+            yield [t.id for t in tokenize(word.lower())]
+        elif "<|" in word or not (plain or max(word) < "İ"):
             yield tokenizer.encode(word, add_special_tokens=False).ids
-            continue
-        low = word.lower()
-        parts = (low,) if plain and low.isalpha() else _WORD.findall(low)
-        for part in parts:
-            if part not in known:
-                same = part.isascii() and part.isprintable()
-                known[part] = [t.id for t in tokenize(part if same else "".join([_BYTES[b] for b in part.encode()]))]
-        yield known[parts[0]] if len(parts) == 1 else [i for part in parts for i in known[part]]
+        else:
+            ids = []
+            for part in _WORD.findall(word.lower()):
+                if part not in known:
+                    same = part.isascii() and part.isprintable()
+                    known[part] = [t.id for t in tokenize(part if same else "".join([_BYTES[b] for b in part.encode()]))]
+                ids += known[part]
+            yield ids
 
 
 class Index:
@@ -165,10 +166,10 @@ def pack(
     if window & (window - 1):
         raise ValueError("the window must be a power of two")
 
-    def resolve(new: list[str], known: dict[str, list[int]]) -> tuple[list[int], list[int]]:
+    def resolve(new: list[str]) -> tuple[list[int], list[int]]:
         """A hash of each word, then its ids."""
         sizes, numbers = [], []
-        for word, ids in zip(new, word_ids(path, new, known), strict=True):
+        for word, ids in zip(new, word_ids(path, new), strict=True):
             sizes.append(len(ids) + 1)
             numbers.append(zlib.crc32(word.lower().encode()) - (1 << 31))
             numbers += ids
@@ -194,8 +195,7 @@ def pack(
             yield pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
-        table = WordTable(lambda new: resolve(new, known))
+        table = WordTable(resolve, TASK_WORDS)
         number, held, keys = TaskContext.get().partitionId() << 32, [], []
 
         def shard() -> Iterator[pa.RecordBatch]:
@@ -210,7 +210,7 @@ def pack(
             column = part.column("text")
             column = column.fill_null("") if column.null_count else column
             if not pc.any(pc.match_substring(column, "<|")).as_py():  # else capitals may tell a special token from other text
-                column = pc.ascii_lower(column)
+                column = pc.replace_substring_regex(pc.ascii_lower(column), BEFORE_MARK, "\\1 \\2")  # less different words
             words = pc.ascii_split_whitespace(column)
             counts = words.value_lengths().to_numpy().astype(np.int64)
             rows = table.rows_of(words.flatten())
@@ -228,4 +228,4 @@ def pack(
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     out = f"id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids_crc32 long, ids array<int>"
-    return rows.mapInArrow(run, out).withColumnRenamed("id", id_column)
+    return rows.mapInArrow(tidy(run), out).withColumnRenamed("id", id_column)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import held_out, text_slices, utf8
+from windvane.llm.common import held_out, text_slices, tidy, utf8
 
 PASSAGE_WORDS = 64
 HASHED = 16
@@ -193,7 +193,7 @@ def learn_quality(
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     chosen = texts.join(F.broadcast(sample), "id").select("id", "label", "text")  # at most sample_docs rows
     kind = chosen.schema["id"].dataType.simpleString()
-    rows = chosen.mapInArrow(run, f"id {kind}, label double, bag binary").where("bag is not null").toPandas().sort_values(["id", "label"])
+    rows = chosen.mapInArrow(tidy(run), f"id {kind}, label double, bag binary").where("bag is not null").toPandas().sort_values(["id", "label"])
     label = rows["label"].to_numpy(np.float64)
     if not len(label) or label.min() == label.max():
         return float((label.sum() + 1) / (len(label) + 2))
@@ -221,7 +221,7 @@ def score_quality(docs: DataFrame, model: Attention | float, id_column: str = "d
 
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, score double, passages long, attention double").withColumnRenamed("id", id_column)
+    return rows.mapInArrow(tidy(run), f"id {kind}, score double, passages long, attention double").withColumnRenamed("id", id_column)
 
 
 def quality_scores(

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import components, forest, text_slices
+from windvane.llm.common import components, forest, release, text_slices, tidy
 from windvane.session import broadcast_if_small, cut_lineage
 
 PAGE_KEYS = 8192
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, id_column: str, text_column: str, shingle: int
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(fps)], ["id", "fp"])
 
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(tidy(run), f"id {rows.schema['id'].dataType.simpleString()}, fp long")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -218,7 +218,7 @@ def fingerprint_links(keys: DataFrame, max_bits: int, page_keys: int = PAGE_KEYS
         if len(held):
             yield emit(held)
 
-    pages = cut_lineage(ordered.mapInArrow(cut, "page long, rotation int, depth int, first long, keys binary"))
+    pages = cut_lineage(ordered.mapInArrow(tidy(cut), "page long, rotation int, depth int, first long, keys binary"))
     known = pages.select("page", "rotation", "depth", "first").toPandas()  # one small row for thousands of keys
     page, rotation = known["page"].to_numpy(np.int64), known["rotation"].to_numpy(np.int64)
     depth, first = known["depth"].to_numpy(np.int64), known["first"].to_numpy(np.int64).view(np.uint64)
@@ -246,9 +246,10 @@ def fingerprint_links(keys: DataFrame, max_bits: int, page_keys: int = PAGE_KEYS
         hung = np.flatnonzero(label != np.arange(len(every)))
         turn = int(group["rotation"].iloc[0])
         u, v = _turned(every[hung], turn), _turned(every[label[hung]], turn)
+        release()
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    dealt = pages.mapInArrow(deal, "a long, b long, page long, rotation int, keys binary")
+    dealt = pages.mapInArrow(tidy(deal), "a long, b long, page long, rotation int, keys binary")
     return dealt.groupBy("a", "b").applyInPandas(join, "u long, v long")
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import components, forest
+from windvane.llm.common import components, forest, tidy
 from windvane.session import cut_lineage
 
 BLOCK = 1024  # points of a block; two blocks are all a task holds
@@ -235,7 +235,7 @@ def vector_near_dups(
 
     kind = points.schema["label"].dataType.simpleString()
     points = points.select("label", "dim", "id", "weight", "vec")
-    celled = points.mapInArrow(assign, f"label {kind}, dim int, id long, weight long, vec array<double>, cell int")
+    celled = points.mapInArrow(tidy(assign), f"label {kind}, dim int, id long, weight long, vec array<double>, cell int")
     sizes = celled.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     dealt = celled.join(sizes, ["label", "dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
 
