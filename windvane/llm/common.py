@@ -18,6 +18,7 @@ from windvane.session import cut_lineage, shared_dir
 
 # Bytes of text that a task turns into arrays at a time; one longer text is a slice of its own.
 SLICE_BYTES = 4 * 1024 * 1024
+EDGES_PER_TASK = 200_000
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -114,19 +115,20 @@ def components(edges: DataFrame) -> DataFrame:
     )
     before = None
     while True:
+        # a round of few edges is a handful of tasks, however many partitions its shuffles have
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
-        before = now
+        before, tasks = now, 2 + now[0] // EDGES_PER_TASK
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        least = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).coalesce(tasks))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut_lineage(large)
-        least = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
+        large = cut_lineage(large.coalesce(tasks))
+        least = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut_lineage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = cut_lineage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().coalesce(tasks))
 
 
 def forest(size: int, pair_blocks: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
