@@ -109,10 +109,9 @@ def describe(df: DataFrame, cols: list[str], exact: bool = False) -> DataFrame:
         )
     out = df.agg(*stats).select(F.explode(F.array(*[F.col(f"`{c}`") for c in cols])).alias("s")).select("s.*")
     if exact:
-        found = None
-        for c in cols:
-            one = quantiles(df, c, points).select(F.lit(c).alias("column"), F.col("quantiles").alias("q"))
-            found = one if found is None else found.unionByName(one)
+        pairs = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols]
+        long = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")  # all columns in one pass
+        found = quantiles(long, "v", points, ["column"]).select("column", F.col("quantiles").alias("q"))
         out = out.drop("q").join(F.broadcast(found), "column", "left")  # one row per column
     return out.select(
         "column", "count", "mean", "std", "min",

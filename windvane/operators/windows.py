@@ -97,10 +97,11 @@ def sliding_sequences(
     """Windows of ``length`` consecutive rows per turbine: ``X`` holds their features, ``y`` the last row's target.
 
     The last possible start of a turbine is left out, as a start drawn below ``rows - length``
-    leaves it out. With ``n`` that many starts per turbine are drawn, by seeded hash; otherwise
-    every start is returned.
+    leaves it out. With ``n`` that many starts per turbine are drawn: those with the smallest MD5 of ``seed|turbine|start``;
+    otherwise every start is returned.
     """
-    placed = ordered.row_in_group(df, [partition], order, "start", task_rows=task_rows)
+    df, layout = ordered.lay_out(df, [partition], order, task_rows)  # measured once for both scans
+    placed = ordered.row_in_group(df, [partition], order, "start", layout, task_rows)
     vector = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
     rows = ordered.rolling(
         placed,
@@ -112,6 +113,7 @@ def sliding_sequences(
         order,
         before=length - 1,
         after=1,
+        layout=layout,
         task_rows=task_rows,
     )
     full = rows.filter((F.col("start") >= length - 1) & (F.col("_followed") == 1))
@@ -119,7 +121,8 @@ def sliding_sequences(
     if n is None:
         return out
     # two-step top n: first inside hashed slices of a turbine, then over the few winners
-    drawn = out.withColumn("_draw", F.xxhash64(F.lit(seed), F.col(partition), F.col("start")))
+    text = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(partition).cast("string"), F.lit("")), F.col("start").cast("string"))
+    drawn = out.withColumn("_draw", F.md5(text.cast("binary")))
     sliced = drawn.withColumn("_slice", F.pmod(F.xxhash64("start"), F.lit(64)))
     first = Window.partitionBy(partition, "_slice").orderBy("_draw", "start")
     second = Window.partitionBy(partition).orderBy("_draw", "start")

@@ -454,7 +454,13 @@ def _(spark, sf):
     )
 
 
-@query("w8_random_sequences")
+@query(
+    "w8_random_sequences",
+    """WITH k AS (SELECT user_id, event_type, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY user_id) AS n
+         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts))
+       SELECT user_id, (pos - 5)::BIGINT AS start, event_type AS y, 6 AS size FROM k WHERE pos >= 5 AND pos < n - 1
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY md5(concat_ws('|', '3', user_id::VARCHAR, (pos - 5)::VARCHAR)), pos) <= 5""",
+)
 def _(spark, sf):
     out = windows.sliding_sequences(load(spark, sf, "events"), ["value"], "event_type", "user_id", ["ts"], 6, n=5, seed=3)
     return out.select("user_id", "start", "y", F.size("X").alias("size"))
