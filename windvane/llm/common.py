@@ -103,7 +103,7 @@ def held_out(id_column: str, folds: int, fold: int):
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of the undirected edges (u, v); root is the smallest node reachable.
+    """(node, root) for every node of the undirected edges (u, v) but the roots; root is the smallest node reachable.
 
     Rounds of large-star and small-star: each hangs every node below the smallest neighbour seen, so paths
     shrink exponentially. Only edges move, at most one per node and neighbour; nothing reaches the driver but a
@@ -118,9 +118,7 @@ def components(edges: DataFrame) -> DataFrame:
         # a round of few edges is a handful of tasks, however many partitions its shuffles have
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-            )
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before, tasks = now, 2 + now[0] // EDGES_PER_TASK
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).coalesce(tasks))

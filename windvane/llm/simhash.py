@@ -246,7 +246,8 @@ def fingerprint_links(keys: DataFrame, max_bits: int, page_keys: int = PAGE_KEYS
         hung = np.flatnonzero(label != np.arange(len(every)))
         turn = int(group["rotation"].iloc[0])
         u, v = _turned(every[hung], turn), _turned(every[label[hung]], turn)
-        release()
+        if len(every) > page_keys:
+            release()
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
     dealt = pages.mapInArrow(tidy(deal), "a long, b long, page long, rotation int, keys binary")
@@ -268,7 +269,8 @@ def simhash_near_dups(
     rooted = keys.join(tree, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # stored, so that adaptive execution can split the rows of a large component in the join
+    least = cut_lineage(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
     named = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(
         F.col("id").alias(id_column), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
