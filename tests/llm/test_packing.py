@@ -10,6 +10,7 @@ import pytest
 public_tokenizers = pytest.importorskip("public_tokenizers")
 tokenizers = pytest.importorskip("tokenizers")
 
+from windvane.llm import packing  # noqa: E402
 from windvane.llm.packing import Index, fill, pack  # noqa: E402
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -109,6 +110,55 @@ def test_neighbours_fill_the_window_of_the_seed():
     assert rows.tolist() == [[0, 0, 5, 0, 0], [1, 0, 3, 0, 5], [1, 3, 2, 1, 0], [2, 0, 2, 1, 2], [2, 2, 2, 2, 0], [2, 4, 1, 3, 0]] and sequences == 4
 
 
+def test_statistics_are_those_of_all_documents():
+    rng = np.random.default_rng(1)
+    docs = [rng.integers(0, 12, rng.integers(1, 20)) for _ in range(40)]
+    held, n = np.unique(np.concatenate([np.unique(d) for d in docs]), return_counts=True)
+    mean = np.mean([len(d) for d in docs])
+    part = docs[:15]
+    index = Index(np.concatenate(part).astype(np.int32), np.array([len(d) for d in part]), of_all=(40, mean, held, n))
+    words = np.repeat(np.unique(np.concatenate(part)), index.size)
+    for word, doc, weight in zip(words.tolist(), index.doc.tolist(), index.weight.tolist(), strict=True):
+        df, tf = sum(word in d for d in docs), int((part[doc] == word).sum())
+        assert weight == pytest.approx(np.log1p((40 - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(part[doc]) / mean)))
+
+
+def test_related_documents_meet_wherever_they_are_read(spark):
+    rng = random.Random(3)
+    common = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    rows = [(100 * part + topic, f"topic{topic}x " + " ".join(rng.choices(common, k=12))) for part in range(4) for topic in range(40)]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "doc_id long, text string")
+    out = pack(frame, PATH, window=64, shard_docs=16).collect()
+    whole(out, rows, 64)
+    tasks = defaultdict(set)
+    for r in out:
+        tasks[r["doc_id"] % 100].add(r["sequence_id"] >> 32)
+    assert len(tasks) == 40 and all(len(t) == 1 for t in tasks.values())
+
+
+@pytest.mark.parametrize("key_words", [0, 5])
+def test_rare_words_are_counted_beside_the_frequent_ones(spark, small, monkeypatch, key_words):
+    monkeypatch.setattr(packing, "KEY_WORDS", key_words)
+    plain = small("documents")
+    whole(pack(plain, PATH, window=256, shard_docs=32).collect(), [(r["doc_id"], r["text"]) for r in plain.collect()], 256)
+
+
+def test_a_hot_word_is_dealt_over_several_shards():
+    words, counts = np.full(1000, 7, np.int32), np.ones(1000, np.int64)
+    names = packing.shard_names(words, counts, np.full(1000, 1000), 50, 100, np.arange(1000))
+    assert len(set(names.tolist())) > 5 and np.bincount(names).max() <= 400
+    alone = packing.shard_names(words[:60], counts[:60], np.full(60, 60), 50, 100, np.arange(60))
+    assert len(set(alone.tolist())) == 1
+
+
+def test_words_of_many_ids(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz0123456789") for _ in range(n)) for n in (3, 255, 900, 1, 2000))) for i in range(3)]
+    whole(pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH, window=256).collect(), rows, 256)
+    sizes = np.array([3, 255, 0, 700, 510, 254])
+    assert list(packing._lengths(sizes, np.array([2, 0, 4]))[2].as_py()) == [0, 255, 255, 190, 255, 255, 0, 254]
+
+
 def test_odd_rows(odd, none):
     rows = pack(odd, PATH).collect()
     texts = [(r["doc_id"], r["text"]) for r in odd.collect()]
