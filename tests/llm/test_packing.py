@@ -110,6 +110,24 @@ def test_neighbours_fill_the_window_of_the_seed():
     assert rows.tolist() == [[0, 0, 5, 0, 0], [1, 0, 3, 0, 5], [1, 3, 2, 1, 0], [2, 0, 2, 1, 2], [2, 2, 2, 2, 0], [2, 4, 1, 3, 0]] and sequences == 4
 
 
+@pytest.mark.parametrize("number,words,longest", [(30, 60, 80), (300, 400, 120)])
+def test_scores_are_bm25_of_all_shared_words(number, words, longest):
+    rng = np.random.default_rng(2)
+    docs = [np.minimum(rng.zipf(1.3, rng.integers(30, longest)), words) for _ in range(number)]
+    index = Index(np.concatenate(docs).astype(np.int32), np.array([len(d) for d in docs]))
+    tf = np.array([np.bincount(d, minlength=words + 1) for d in docs])
+    df, length = (tf > 0).sum(axis=0), tf.sum(axis=1)
+    weight = np.log1p((number - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length[:, None] / length.mean())) * (df > 1)
+    for seed in range(0, number, 7):
+        assert (df[tf[seed] > 0] > 1).sum() > 5
+        scores = weight[:, tf[seed] > 0].sum(axis=1)
+        used = np.zeros(number, bool)
+        used[[seed, 3]] = True
+        want = [d for d in np.argsort(-scores, kind="stable") if scores[d] > 0 and not used[d]]
+        got = index.neighbours(seed, used)
+        assert sorted(got) == sorted(want) and np.allclose(scores[got], scores[want])
+
+
 def test_statistics_are_those_of_all_documents():
     rng = np.random.default_rng(1)
     docs = [rng.integers(0, 12, rng.integers(1, 20)) for _ in range(40)]

@@ -33,9 +33,10 @@ SHARD_TOKENS = 1 << 23  # a shard ends with the document that passes this
 KEY_WORDS = 262_144  # most frequent words of all documents, from which a shard is named
 SLICE_IDS = 1 << 19  # stored ids that a task turns into arrays at a time; one longer document is a slice of its own
 COUNTED_WORDS = 2_000_000  # words a task counts before it sends them on
-QUERY_WORDS = 16  # words of a seed with the largest weights
 TASK_WORDS = 150_000  # distinct words a task remembers
 SENT_TOKENS = 1 << 19  # ids that leave a task at a time
+DENSE = 16  # a word that more than one in so many documents of a shard hold is common
+FIRST = 64  # neighbours of a seed that are put in order at first
 K1, B = 1.2, 0.75
 _BYTES = byte_characters()
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -110,14 +111,15 @@ def shard_names(words: np.ndarray, counts: np.ndarray, held: np.ndarray, shards:
 
 
 class Index:
-    """BM25 over one shard: postings by word, and the heaviest words of every document.
+    """BM25 over one shard: postings by word, and the words that every document shares with others.
 
+    A seed is scored by all of these words, or by the ``query_words`` heaviest ones.
     ``of_all`` has what is known of all documents: their number, their mean length, and sorted words with the number of documents that
     hold each; without it the shard is all there is. A word that it lacks is held by one document.
     """
 
     def __init__(
-        self, words: np.ndarray, counts: np.ndarray, query_words: int = QUERY_WORDS, of_all: tuple[int, float, np.ndarray, np.ndarray] | None = None
+        self, words: np.ndarray, counts: np.ndarray, query_words: int | None = None, of_all: tuple[int, float, np.ndarray, np.ndarray] | None = None
     ):
         docs = len(counts)
         doc = np.repeat(np.arange(docs), counts)
@@ -136,26 +138,46 @@ class Index:
         weight = idf[word] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc]))
         self.start, self.size = np.flatnonzero(fresh), df
         self.doc, self.weight = doc, weight
-        # per document its shared words, heaviest first; ties by the hash that names the word
         rows = np.flatnonzero(shared)
-        rows = rows[np.lexsort((key[rows], -weight[rows], doc[rows]))]
-        begin = np.searchsorted(doc[rows], np.arange(docs + 1))
-        place = np.arange(len(rows)) - np.repeat(begin[:-1], np.diff(begin))
-        top = place < query_words
-        self.query = word[rows[top]]
-        self.query_start = np.searchsorted(doc[rows[top]], np.arange(docs + 1))
+        if query_words is None:
+            rows = rows[np.argsort(doc[rows], kind="stable")]
+        else:  # heaviest first; ties by the hash that names the word
+            rows = rows[np.lexsort((key[rows], -weight[rows], doc[rows]))]
+            begin = np.searchsorted(doc[rows], np.arange(docs + 1))
+            rows = rows[np.arange(len(rows)) - np.repeat(begin[:-1], np.diff(begin)) < query_words]
+        self.query = word[rows]
+        self.query_start = np.searchsorted(doc[rows], np.arange(docs + 1))
         self.docs = docs
-
-    def neighbours(self, seed: int, used: np.ndarray) -> list[int]:
+        # words that many documents hold as rows over all documents, which add up faster than postings
+        self.place = np.full(len(df), -1)
+        common = np.flatnonzero(df > docs // DENSE)
+        self.place[common] = np.arange(len(common))
+        at = self.place[word]
+        self.dense = np.zeros((len(common), docs))
+        self.dense[at[at >= 0], doc[at >= 0]] = weight[at >= 0]
+
+    def ranked(self, seed: int, used: np.ndarray) -> Iterator[int]:
         """Unused documents that share a word of the seed's query, best first."""
         words = self.query[self.query_start[seed] : self.query_start[seed + 1]]
         if not len(words):
-            return []
-        at = spread(self.start[words], self.size[words])
-        score = np.bincount(self.doc[at], self.weight[at], self.docs)
+            return
+        place = self.place[words]
+        few = words[place < 0]
+        at = spread(self.start[few], self.size[few])
+        score = np.bincount(self.doc[at], self.weight[at], self.docs).astype(float)
+        for row in place[place >= 0].tolist():
+            score += self.dense[row]
         score[used] = 0
         found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")].tolist()
+        if len(found) > 2 * FIRST:  # a window seldom needs more than the first
+            least = np.partition(score[found], len(found) - FIRST)[len(found) - FIRST]
+            best = found[score[found] >= least]
+            yield from best[np.argsort(-score[best], kind="stable")].tolist()
+            found = found[score[found] < least]
+        yield from found[np.argsort(-score[found], kind="stable")].tolist()
+
+    def neighbours(self, seed: int, used: np.ndarray) -> list[int]:
+        return list(self.ranked(seed, used))
 
 
 def fill(sizes: np.ndarray, index: Index, window: int) -> tuple[np.ndarray, int]:
@@ -179,7 +201,7 @@ def fill(sizes: np.ndarray, index: Index, window: int) -> tuple[np.ndarray, int]
             if offset == window:
                 sequence, offset = sequence + 1, 0
         if offset and (waiting or sequence != before):  # a new seed, or one that goes on in a new sequence
-            following = iter(index.neighbours(doc, used))
+            following = index.ranked(doc, used.copy())
         elif not offset:
             following = iter(())
         waiting = False
