@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 
-from windvane.llm.secrets import labelled_tokens, markov_ratio, redact, secret_scan
+from windvane.llm.secrets import labelled_tokens, markov_ratio, redact, secret_scan, with_spans
 
 BASE = [
     ("assign", re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 1, 12),
@@ -62,6 +62,21 @@ def test_random_strings_are_told_from_identifiers(spark, small):
     assert sum(r["n_random"] for i, r in out.items() if i >= 1000) == 0
 
 
+def test_short_random_strings_are_found(spark, small):
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secret = ["".join(rng.choice(of) for _ in range(n)) for n, of in [(12, letters), (14, letters), (16, letters), (19, letters), (12, "0123456789abcdef")] for _ in range(20)]
+    plain = ["documentation", "internationally", "the-quick-brown", "com/example/a", "-" * 12, "-" * 16, "z" * 14, "=" * 3 + "-" * 18, "0" * 14, "/" * 19, "01" * 7, "+" + "-" * 18 + "+"]
+    rows = [(i, f"and the {s} of it") for i, s in enumerate(secret + plain)]
+    docs = small("documents")
+    ratio = markov_ratio(labelled_tokens(docs, "doc_id", "text"))
+    found = {r["doc_id"]: [(s["start"], s["end"]) for s in r["__spans"]] for r in with_spans(spark.createDataFrame(rows, "doc_id long, text string"), ratio, "text").collect()}
+    for group in range(0, 100, 20):
+        assert sum(found[i] == [(8, 8 + len(secret[i]))] for i in range(group, group + 20)) >= 18
+    assert [p for i, p in enumerate(plain, len(secret)) if found[i]] == []
+    assert sum(r["n_random"] for r in secret_scan(docs).collect()) == 0
+
+
 def test_models_are_counted_from_labelled_samples(spark):
     samples = spark.createDataFrame([("abab", False), ("Zz9", True)], "token string, random boolean")
     ratio = markov_ratio(samples, 1.0)

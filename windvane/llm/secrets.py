@@ -1,7 +1,8 @@
 """Secrets in texts, in DataFrame functions only: fixed patterns, and strings that look random.
 
 Two first-order character Markov models, one of random strings and one of ordinary identifiers, are counted from
-labelled samples. A run of token characters is a secret when its log-likelihood ratio reaches a margin.
+labelled samples. A run of 12 or more token characters is a secret when it has at least 5 different ones and its log-likelihood ratio
+reaches a margin. Lines, zeros and other repeated marks have fewer, and no sample need hold them; of random strings of 12 hex digits about 1 in 10,000 has.
 Offsets are code points; ends are exclusive.
 """
 
@@ -23,9 +24,9 @@ KINDS = [
 NAMES = [k[0] for k in KINDS] + ["random"]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 STATES = len(ALPHABET) + 1  # and the start
-TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}={0,2}"
 MARGIN = 8.0  # natural logarithm of how much likelier random must be
-DIFFERENT = 8  # characters a random string has at least
+DIFFERENT = 5  # characters a random string has at least
 SAMPLE_DOCS = 2000  # rows whose words are the sample of ordinary identifiers, at most
 SAMPLE_RANDOM = 2000  # strings made from digests, the sample of random ones
 
