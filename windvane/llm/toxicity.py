@@ -189,21 +189,22 @@ def fit_toxicity(
     ``docs`` holds the sentence and the slot of every feature of a text, ``weight`` how many rows a text stands for. Of the features found in ``least`` texts or more,
     the ``most`` that set label 1 apart best have a weight. Each pair are slots taken out and put in by a swap.
     """
-    doc = np.repeat(np.arange(len(docs)), [len(s) for s, _ in docs])
-    counts = np.array([int(s.max()) + 1 if len(s) else 1 for s, _ in docs])
-    first = np.cumsum(counts) - counts
-    at = np.concatenate([s for s, _ in docs]) + first[doc]
-    slot = np.concatenate([f for _, f in docs])
-    one = np.unique(doc.astype(np.int64) * SLOTS + slot)
-    in_texts, share = np.bincount(one % SLOTS, minlength=SLOTS), weight / weight.sum()
-    held = [np.bincount(one % SLOTS, (share * (label == y))[one // SLOTS], SLOTS) / (share * (label == y)).sum() for y in (1, 0)]
-    gain = (held[0] - held[1]) / np.sqrt((held[0] + held[1]) * 0.5 + 1.0 / len(docs))
+    share, held, in_texts = weight / weight.sum(), np.zeros((2, SLOTS)), np.zeros(SLOTS, np.int32)
+    for (_, slots), y, part in zip(docs, label, share, strict=True):
+        one = np.unique(slots)
+        in_texts[one] += 1
+        held[int(y > 0), one] += part
+    held[0] /= share[label <= 0].sum()
+    held[1] /= share[label > 0].sum()
+    gain = (held[1] - held[0]) / np.sqrt((held[1] + held[0]) * 0.5 + 1.0 / len(docs))
     known = np.flatnonzero((in_texts >= least) & (gain > 0))
     known = np.sort(known[np.argsort(-gain[known], kind="stable")[:most]])
     index = np.full(SLOTS, -1)
     index[known] = np.arange(len(known))
-    kept = index[slot] >= 0
-    at, slot = at[kept], index[slot[kept]]
+    counts = np.array([int(s.max()) + 1 if len(s) else 1 for s, _ in docs])
+    first = np.cumsum(counts) - counts
+    at = np.concatenate([s[index[f] >= 0] + a for (s, f), a in zip(docs, first, strict=True)])
+    slot = np.concatenate([index[f[index[f] >= 0]] for _, f in docs])
     total, owner = int(counts.sum()), np.repeat(np.arange(len(docs)), counts)
     sides = [(np.concatenate([np.full(len(p[k]), i) for i, p in enumerate(pairs)]), index[np.concatenate([p[k] for p in pairs])]) for k in (0, 1)] if pairs else []
     sides = [(i[s >= 0], s[s >= 0]) for i, s in sides]
@@ -277,7 +278,7 @@ def learn_toxicity(
         data = np.frombuffer(text.encode(), np.uint8)
         cut = sentences(data, np.array([0, len(data)]))
         which, slots = features(data, cut.start, cut.end)
-        found.append((cut.sentence[which], slots))
+        found.append((cut.sentence[which].astype(np.int32), slots))
         pairs += swapped(text.encode(), terms)
     stands = np.array([rows[1] / (label == 1).sum() if y else rows[0] / (label == 0).sum() for y in label])
     return fit_toxicity(found, label, stands, pairs, fairness)
