@@ -474,9 +474,9 @@ def _(spark, sf):
 # --- streams -----------------------------------------------------------------------------------
 
 
-def _run_stream(spark, df, name):
-    """Run a stream over everything present and return what it wrote."""
-    out, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
+def _run_stream(spark, df, name, out=None, checkpoint=None):
+    """Run a stream over everything present and return what it has written so far."""
+    out, checkpoint = out or scratch_path(spark, name), checkpoint or scratch_path(spark, f"{name}-checkpoint")
     done = (
         df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
@@ -519,23 +519,24 @@ def _(spark, sf):
 
 @query(
     "r3_stream_rolling_features",
-    """WITH d AS (SELECT user_id, date_trunc('day', ts) AS Date, avg(value) AS value FROM events GROUP BY ALL),
-         w AS (SELECT user_id, Date, round(value, 8) AS value, round(avg(value) OVER w, 8) AS value_av, round(coalesce(stddev_samp(value) OVER w, 0), 8) AS value_sd
-               FROM d WINDOW w AS (PARTITION BY user_id ORDER BY Date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
-       SELECT * FROM w WHERE Date < (SELECT max(Date) FROM d) - INTERVAL 4 DAY""",
+    """WITH d AS (SELECT user_id, date_trunc('day', ts) AS Date, avg(value) AS value FROM events GROUP BY ALL)
+       SELECT user_id, Date, round(value, 8) AS value, round(avg(value) OVER w, 8) AS value_av, round(coalesce(stddev_samp(value) OVER w, 0), 8) AS value_sd
+       FROM d WINDOW w AS (PARTITION BY user_id ORDER BY Date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
 )
 def _(spark, sf):
-    """The days arrive in four files; in the second, days before the end of the first come late."""
+    """The days arrive in four deliveries, and the stream starts again from its checkpoint for each; in the second, days before the end of the first
+    come late. A marker closes the stream."""
     daily = aggregates.group_by_period(load(spark, sf, "events").select("user_id", "ts", "value"), ["user_id"], "ts")
     daily = cut_lineage(daily.withColumn("Date", F.col("Date").cast("timestamp_ntz")))
     bounds = daily.agg(F.min("Date").alias("first"), F.max("Date").alias("last")).first()
     days = (bounds["last"] - bounds["first"]).days + 1
     day = F.datediff("Date", F.lit(bounds["first"]))
     late = (day >= days // 3 - 3) & (day < days // 3) & (F.col("user_id") % 2 == 0)
-    file = F.when(late, 1).when(day < days // 3, 0).when(day < days // 2, 1).when(day < 2 * days // 3, 2).otherwise(3)
-    folder = scratch_path(spark, "daily")
-    for n in range(4):
-        daily.filter(file == n).coalesce(1).write.mode("append").parquet(folder)
-    arriving = spark.readStream.schema(daily.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    out = _run_stream(spark, streams.stream_rolling_features(arriving, "user_id", "Date", ["value"], 7, "4 days"), "rolled")
-    return out.withColumns({c: r(c, 8) for c in ("value", "value_av", "value_sd")})
+    delivery = F.when(late, 1).when(day < days // 3, 0).when(day < days // 2, 1).when(day < 2 * days // 3, 2).otherwise(3)
+    folder, out, checkpoint = (scratch_path(spark, n) for n in ("daily", "rolled", "rolled-checkpoint"))
+    for rows in [*[daily.filter(delivery == n) for n in range(4)], streams.closing_marker(daily, "user_id", "Date", "4 days")]:
+        rows.write.mode("append").parquet(folder)
+        arriving = spark.readStream.schema(daily.schema).parquet(folder)
+        rolled = streams.stream_rolling_features(arriving, "user_id", "Date", ["value"], 7, "4 days")
+        found = _run_stream(spark, rolled, "rolled", out, checkpoint)
+    return found.withColumns({c: r(c, 8) for c in ("value", "value_av", "value_sd")})
