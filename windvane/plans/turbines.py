@@ -10,6 +10,7 @@ separate run.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -269,10 +270,12 @@ def train(signals: DataFrame, failures: DataFrame, setup: Setup) -> Trained:
 
 
 def save_run(run: Trained, path: str, spark: SparkSession) -> None:
-    """Store every component's model and scaler."""
+    """Store every component's model and scaler, and the test predictions with their metrics and savings."""
     for component, model in run.models.items():
         models.save_model(model, f"{path}/{component}/classifier", spark)
         run.scalers[component].write.mode("overwrite").parquet(f"{path}/{component}/scaler")
+    for name in ("predictions", "savings", "metrics"):
+        getattr(run, name).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def load_run(path: str, components: list[str], spark: SparkSession) -> tuple[dict, dict]:
@@ -281,17 +284,36 @@ def load_run(path: str, components: list[str], spark: SparkSession) -> tuple[dic
     return fitted, {c: spark.read.parquet(f"{path}/{c}/scaler") for c in components}
 
 
-def score(signals: DataFrame, trained_models: dict, scalers: dict, setup: Setup) -> DataFrame:
-    """Predictions of all components for new signals: daily mean, rolling features, stored scaler, stored model."""
-    columns = [c for c in signals.columns if c not in (setup.key, setup.ts)]
+def scaled_features(signals: DataFrame, trained_models: dict, scalers: dict, setup: Setup, by: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """What each component's model reads of new signals: daily mean, rolling features, stored scaler.
+
+    ``by`` names columns that keep deliveries apart: a turbine's rows of one delivery are a history of their own.
+    """
+    keys = [*by, setup.key]
+    columns = [c for c in signals.columns if c not in (*keys, setup.ts)]
     needed = sorted({c for n in trained_models for c in setup.sensors_of(n, columns)})
-    chosen = signals.select(setup.key, setup.ts, *needed)
-    layout = ordered.measure(chosen, [setup.key], [setup.ts], setup.task_rows)
-    filled = backfill(chosen, needed, [setup.ts], [setup.key], layout, setup.task_rows)
-    daily = group_by_period(filled, [setup.key], setup.ts, setup.period, cols=needed)
-    table = rolling_table(daily, needed, setup, daily_layout(layout, setup))
+    chosen = signals.select(*keys, setup.ts, *needed)
+    layout = ordered.measure(chosen, keys, [setup.ts], setup.task_rows)
+    filled = backfill(chosen, needed, [setup.ts], keys, layout, setup.task_rows)
+    daily = group_by_period(filled, keys, setup.ts, setup.period, cols=needed)
+    table = add_rolling_features(daily, needed, keys, ["Date"], setup.window, daily_layout(layout, setup), setup.task_rows)
     scaled = {}
     for n, model in trained_models.items():
-        own = table.select(setup.key, "Date", *[F.col(f"`{c}`") for c in model.features])
+        own = table.select(*keys, "Date", *[F.col(f"`{c}`") for c in model.features])
         scaled[n] = scaling.apply_scaler(own, scalers[n], model.features)
-    return models.predict_batch(scaled, trained_models, [setup.key, "Date"])
+    return scaled
+
+
+def score(signals: DataFrame, trained_models: dict, scalers: dict, setup: Setup, by: tuple[str, ...] = ()) -> DataFrame:
+    """Predictions of all components for new signals by the stored models; ``by`` as in :func:`scaled_features`."""
+    tables = scaled_features(signals, trained_models, scalers, setup, by)
+    return models.predict_batch(tables, trained_models, [*by, setup.key, "Date"])
+
+
+def file_scorer(path: str, components: list[str], spark: SparkSession, setup: Setup, ready: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """What ``stream_score_files`` needs to score files with a stored run, which is loaded once, here.
+
+    ``ready`` makes signals of the rows as read (times aligned, gaps that stay filled); the files of a batch are scored together and kept apart.
+    """
+    fitted, scalers = load_run(path, components, spark)
+    return lambda batch: score(ready(batch), fitted, scalers, setup, ("file",))
