@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from math import prod
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -385,23 +386,34 @@ def _(spark, sf):
     return models.stratified_folds(load(spark, sf, "labels"), "quality", ["doc_id"], 5).select("doc_id", "fold")
 
 
-@query(
-    "m8_grid_search_cv",
-    f"""WITH {_TRUTH_SQL} SELECT component, side, Turbine_ID, Date::VARCHAR AS Date, y8 AS y_true, true AS fair_score FROM sides""",
-)
-def _(spark, sf):
-    """The published grid of logistic regression for every component; predictions of the best setting on both sides."""
-    data, features = _learning(spark, sf)
+_GRID_SQL = f"""WITH {_TRUTH_SQL} SELECT component, side, Turbine_ID, Date::VARCHAR AS Date, y8 AS y_true, true AS fair_score FROM sides"""
 
-    def run(component):
-        train, test = data[component]
-        model, scores = models.grid_search_cv(train, "logistic", features, "label", models.GRIDS["logistic"], _ROW, "f1", 5)
-        if scores.count() != 8:
-            raise ValueError("a setting was not rated")
-        rated = models.both_sides(model, train, test, "label", _ROW)
-        return rated.select("side", "Turbine_ID", F.col("Date").cast("string").alias("Date"), "y_true", F.col("score").between(0, 1).alias("fair_score"))
 
-    return _each(data, run)
+def _grid_query(kind):
+    def make(spark, sf):
+        """The published grid for every component; predictions of the best setting on both sides."""
+        data, features = _learning(spark, sf)
+        settings = prod(len(v) for v in models.GRIDS[kind].values())
+
+        def run(component):
+            train, test = data[component]
+            model, scores = models.grid_search_cv(train, kind, features, "label", models.GRIDS[kind], _ROW, "f1", 5)
+            if scores.count() != settings:
+                raise ValueError("a setting was not rated")
+            rated = models.both_sides(model, train, test, "label", _ROW)
+            fair = F.col("score").isNotNull() if kind == "linear_svc" else F.col("score").between(0, 1)
+            return rated.select("side", "Turbine_ID", F.col("Date").cast("string").alias("Date"), "y_true", fair.alias("fair_score"))
+
+        return _each(data, run)
+
+    return make
+
+
+query("m8_grid_search_cv", _GRID_SQL)(_grid_query("logistic"))
+query("m8_grid_knn", _GRID_SQL)(_grid_query("knn"))
+query("m8_grid_adaboost", _GRID_SQL)(_grid_query("adaboost"))
+query("m8_grid_linear_svc", _GRID_SQL)(_grid_query("linear_svc"))
+query("m8_grid_random_forest", _GRID_SQL)(_grid_query("random_forest"))
 
 
 @query(
