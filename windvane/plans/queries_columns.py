@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from windvane.functions import scalar, time
-from windvane.operators import bins, evaluation, models, nulls, select, survey
+from windvane.operators import bins, evaluation, labels, models, nulls, select, survey, windows
 from windvane.plans.registry import FAILURES_SQL, SENSORS, SIGNALS_SQL, component_of, load, query, r, signals
 from windvane.session import scratch_path
-from windvane.sources import files
+from windvane.sources import files, stored
 
 PART = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -126,6 +126,25 @@ def _(spark, sf):
     return spark.read.schema(ORDERS).option("header", True).csv(path)
 
 
+@query(
+    "s7_stored_history",
+    """SELECT event_id, first_value(CASE WHEN event_type = 'view' THEN value END IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS filled,
+         round(avg(value) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 8) AS value_av,
+         coalesce(min(CASE WHEN event_type = 'error' THEN ts END) OVER (w RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), ts) AS date
+       FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)""",
+)
+def _(spark, sf):
+    """Events stored by turbine and time: gap filling, rolling mean and next failure read the stored table without a shuffle."""
+    ev = load(spark, sf, "events").withColumn("view", F.when(F.col("event_type") == "view", F.col("value")))
+    rows = ev.select("event_id", "user_id", "ts", "value", "view", scalar.case_flag(F.col("event_type") == "error").alias("flag"))
+    path = scratch_path(spark, "history")
+    stored.write_history(rows, path, "user_id", "ts", 8)
+    filled = nulls.backfill(stored.read_history(spark, path), ["view"], ["ts"], ["user_id"])
+    rolled = windows.rolling_mean(filled, ["value"], ["user_id"], ["ts"], 7)
+    found = labels.next_failure_date(rolled, "flag", "user_id", "ts")
+    return found.select("event_id", F.col("view").alias("filled"), r("value_av", 8).alias("value_av"), "date")
+
+
 @query(
     "s8_write_metric_log",
     """WITH c AS (SELECT sum((quality=1 AND toxic=1)::INT) tp, sum((quality=0 AND toxic=0)::INT) tn,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windvane.functions.scalar import at_least, case_flag
-from windvane.operators import aggregates, evaluation, labels, models, neighbours, ordered, scaling, windows
+from windvane.operators import aggregates, evaluation, hashed_neighbours, labels, models, neighbours, ordered, scaling, windows
 from windvane.plans import turbines
 from windvane.plans.registry import (
     COMPONENTS, FAILURES_SQL, SENSORS, SIGNALS_SQL, failures, load, query, r, signals, wide_signals,
@@ -373,6 +373,21 @@ def _(spark, sf):
     return out.select("vec_id", "prediction", r("share").alias("share"))
 
 
+@query(
+    "m6_knn_approximate",
+    "SELECT vec_id, 5::BIGINT AS n, true AS distances_hold, true AS recall_reached FROM embeddings WHERE vec_id % 2 = 1",
+)
+def _(spark, sf):
+    """Neighbours by hash tables: whether every returned distance is that of the two vectors, and whether 9 of 10 true neighbours are found."""
+    train, test = _halves(spark, sf)
+    found = hashed_neighbours.nearest_approximate(train, test, "x", "label", "vec_id", ["vec_id"], 5)
+    share = hashed_neighbours.recall(found, neighbours.nearest(train, test, "x", "label", "vec_id", ["vec_id"], 5), ["vec_id"])
+    both = found.join(test.select("vec_id", F.col("x").alias("q")), "vec_id").join(train.select(F.col("vec_id").alias("neighbour"), "x"), "neighbour")
+    gap = F.sqrt(F.aggregate(F.zip_with("q", "x", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
+    holds = F.bool_and(F.abs(gap - F.col("distance")) < 1e-9)
+    return both.groupBy("vec_id").agg(F.count("*").alias("n"), holds.alias("distances_hold")).withColumn("recall_reached", F.lit(share >= 0.9))
+
+
 @query(
     "m8_stratified_folds",
     """WITH f AS (SELECT quality, min(doc_id) AS first FROM labels GROUP BY quality),

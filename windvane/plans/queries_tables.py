@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from windvane.functions.time import time_grid
-from windvane.operators import aggregates, joins, labels, scaling, splits, windows
+from windvane.operators import aggregates, incremental, joins, labels, scaling, sketches, splits, windows
 from windvane.plans.registry import (
     COMPONENTS, FAILURES_SQL, SENSORS, SIGNALS_SQL, failures, load, query, r, signals, wide_signals,
 )
+from windvane.session import scratch_path
 
 KEYS = ["Timestamp", "Turbine_ID"]
 
@@ -265,6 +266,27 @@ def _(spark, sf):
     return aggregates.nunique(load(spark, sf, "events"), ["user_id", "event_type"])
 
 
+@query(
+    "a7_nunique_sketched",
+    """WITH w AS (SELECT date_trunc('week', ts)::DATE::VARCHAR AS week, count(DISTINCT user_id) AS users, count(DISTINCT floor(value)) AS levels FROM events GROUP BY ALL)
+       SELECT week, users, levels, true AS users_hold, true AS levels_hold FROM w""",
+)
+def _(spark, sf):
+    """Distinct turbines and values per week from stored daily sketches, beside the exact counts: whether they differ by less than five standard errors."""
+    ev = load(spark, sf, "events").select("event_type", "user_id", "ts", F.floor("value").alias("level"))
+    path = scratch_path(spark, "sketches")
+    sketches.distinct_sketches(ev, ["event_type"], "ts", ["user_id", "level"]).write.parquet(path)
+    week = F.date_trunc("week", F.col("Date")).cast("date").cast("string").alias("week")
+    found = sketches.distinct_over(spark.read.parquet(path), [week], ["user_id", "level"])
+    exact = ev.groupBy(F.date_trunc("week", F.col("ts")).cast("date").cast("string").alias("week")).agg(
+        F.count_distinct("user_id").alias("users"), F.count_distinct("level").alias("levels")
+    )
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 1 + 5 * sketches.DISTINCT_ERROR * F.col(b)
+    return exact.join(found, "week", "left").select(
+        "week", "users", "levels", near("user_id", "users").alias("users_hold"), near("level", "levels").alias("levels_hold")
+    )
+
+
 @query("a7_distinct_values", "SELECT DISTINCT p_brand FROM part")
 def _(spark, sf):
     return aggregates.distinct_values(load(spark, sf, "part"), "p_brand")
@@ -326,6 +348,27 @@ def _(spark, sf):
     return out.withColumns({"low": r("low", 4), "high": r("high", 4)})
 
 
+@query(
+    "a8_quantiles_sketched",
+    """WITH n AS (SELECT event_type, count(value) AS n FROM events GROUP BY event_type)
+       SELECT event_type, unnest([0.05, 0.25, 0.5, 0.75, 0.95])::DOUBLE AS point, n, true AS rank_holds FROM n""",
+)
+def _(spark, sf):
+    """Quantiles per event type from stored sketches per type, turbine and day: whether the rank of each among all values is its point, up to the stated error."""
+    ev, points = load(spark, sf, "events"), [0.05, 0.25, 0.5, 0.75, 0.95]
+    path = scratch_path(spark, "sketches")
+    sketches.quantile_sketches(ev, ["event_type", "user_id"], "ts", ["value"]).write.parquet(path)
+    found = sketches.quantiles_over(spark.read.parquet(path), ["event_type"], "value", points)
+    pairs = F.arrays_zip(F.array(*[F.lit(p) for p in points]).alias("point"), F.col("quantiles").alias("q"))
+    asked = found.select("event_type", "n", F.explode(pairs).alias("a")).select("event_type", "n", "a.point", "a.q")
+    ranks = ev.join(asked, "event_type").groupBy("event_type", "point", "n").agg(  # five rows per event type
+        (F.count_if(F.col("value") < F.col("q")) / F.count("value")).alias("below"), (F.count_if(F.col("value") <= F.col("q")) / F.count("value")).alias("upto")
+    )
+    slack = 2 * sketches.RANK_ERROR
+    holds = (F.col("below") <= F.col("point") + slack) & (F.col("upto") >= F.col("point") - slack)
+    return ranks.select("event_type", "point", "n", holds.alias("rank_holds"))
+
+
 @query(
     "a14_box_stats",
     """SELECT l_returnflag, min(l_extendedprice) AS min, round(quantile_cont(l_extendedprice, 0.25), 4) AS q25,
@@ -373,6 +416,24 @@ def _text_date(df):
 _ROLL = "OVER (PARTITION BY Turbine_ID ORDER BY Date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"
 
 
+@query(
+    "a1_daily_incremental",
+    """WITH d AS (SELECT user_id, ts::DATE AS Date, avg(value) AS value FROM events GROUP BY ALL)
+       SELECT user_id, Date::VARCHAR AS Date, round(value, 8) AS value, round(avg(value) OVER w, 8) AS value_av, round(coalesce(stddev_samp(value) OVER w, 0), 8) AS value_sd
+       FROM d WINDOW w AS (PARTITION BY user_id ORDER BY Date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+)
+def _(spark, sf):
+    """The events arrive in four deliveries, the last with rows that come late for days all along the table, and the third twice."""
+    ev = load(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    late = (F.col("event_id") % 97 == 0) & (F.col("user_id") % 3 == 0)
+    part = F.when(late, 3).when(F.dayofmonth("ts") <= 10, 0).when(F.dayofmonth("ts") <= 20, 1).otherwise(2)
+    table = incremental.DailyTable(scratch_path(spark, "daily"), ("user_id",), "ts", ("value",), 7)
+    for n in (0, 1, 2, 2, 3):
+        table.update(f"delivery-{n}", ev.filter(part == n))
+    out = table.read(spark).withColumn("Date", F.col("Date").cast("string"))
+    return out.select("user_id", "Date", *[r(c, 8).alias(c) for c in ("value", "value_av", "value_sd")])
+
+
 @query("w1_rolling_mean", f"WITH {_DAILY_SQL} SELECT Turbine_ID, Date::VARCHAR AS Date, n, round(avg(value) {_ROLL}, 8) AS value_av FROM daily")
 def _(spark, sf):
     out = windows.rolling_mean(_daily(spark, sf), ["value"], ["Turbine_ID"], ["Date"], 10)
