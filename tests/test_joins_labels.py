@@ -207,13 +207,15 @@ def test_summaries(spark):
     assert balance == {0: 4 / 6, 1: 2.0}
 
 
-def test_wide_correlation(spark):
+@pytest.mark.parametrize("columns", [6, 18])
+def test_wide_correlation(spark, columns):
+    """Few columns are summed in the JVM, many as matrices; both leave out pairs with a gap."""
     rnd = np.random.default_rng(5)
-    x = rnd.normal(size=(400, 18)) + 1000
+    x = rnd.normal(size=(400, columns)) + 1000
     x[:, 3] = 2 * x[:, 1] - 7
     x[rnd.random(x.shape) < 0.1] = np.nan
-    x[:, 17] = 4.0
-    pdf = pd.DataFrame(x, columns=[f"s{i}" for i in range(18)])
+    x[:, columns - 1] = 4.0
+    pdf = pd.DataFrame(x, columns=[f"s{i}" for i in range(columns)])
     df = spark.createDataFrame(pdf).repartition(3)
     got = correlation_matrix(df, list(pdf.columns)).toPandas().pivot(index="a", columns="b", values="corr")
     want = pdf.corr().loc[got.index, got.columns]

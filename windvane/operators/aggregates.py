@@ -14,6 +14,7 @@ from windvane.functions.time import floor_hour
 from windvane.operators.ordered import quantiles, running_sum
 
 # A column counts as constant when its squared spread is below this share of its squared sum.
+NARROW = 12  # columns whose pairs are aggregates of their own
 NO_SPREAD = 1e-12
 
 
@@ -122,11 +123,23 @@ def describe(df: DataFrame, cols: list[str], exact: bool = False) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every column pair (long form), over the rows where both values are present.
 
-    One formula for any number of columns: each task adds up the product sums of all pairs as matrices and
-    only those sums are shuffled. A pair has no correlation (null) when one of its columns has no spread over
-    the rows they share, apart from rounding; else it lies between -1 and 1.
+    Up to ``NARROW`` columns all pairs are aggregates of one pass in the JVM, whose running means leave a constant column exactly without spread. With more columns each task
+    adds up the product sums of all pairs as matrices. Either way only sums are shuffled. A pair has no correlation (null) when one of its columns has no
+    spread over the rows they share, apart from rounding, or holds an infinite number there; else it lies between -1 and 1.
     """
-    return _product_sums(df, cols)
+    if len(cols) > NARROW:
+        return _product_sums(df, cols)
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    num = df.select(*[_present_number(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    both = lambda of, other: F.when(F.col(f"c{other}").isNotNull(), F.col(f"c{of}"))
+    spread = lambda i, j: F.sqrt(F.var_pop(both(i, j))) * F.sqrt(F.var_pop(both(j, i)))
+    row = num.agg(*[F.try_divide(F.covar_pop(f"c{i}", f"c{j}"), spread(i, j)).alias(f"r{i}_{j}") for i, j in pairs])
+    cells = [F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.col(f"r{min(i, j)}_{max(i, j)}").alias("corr")) for i in range(len(cols)) for j in range(len(cols))]
+    return row.select(F.explode(F.array(*cells)).alias("p")).select("p.a", "p.b", _clipped(F.col("p.corr")).alias("corr"))
+
+
+def _clipped(corr: Column) -> Column:
+    return F.when(corr.isNotNull() & ~F.isnan(corr), F.greatest(F.least(corr, F.lit(1.0)), F.lit(-1.0)))
 
 
 def _present_number(name: str) -> Column:
@@ -164,8 +177,7 @@ def _product_sums(df: DataFrame, cols: list[str]) -> DataFrame:
     corr = F.try_divide(together, F.sqrt(spread("sx", "sxx") * spread("sy", "syy")))
     names = F.array(*[F.lit(c) for c in cols])
     at = lambda i: F.get(names, F.col(i).cast("int"))
-    clipped = F.when(corr.isNotNull(), F.greatest(F.least(corr, F.lit(1.0)), F.lit(-1.0)))
-    return total.select(at("i").alias("a"), at("j").alias("b"), clipped.alias("corr"))
+    return total.select(at("i").alias("a"), at("j").alias("b"), _clipped(corr).alias("corr"))
 
 
 def min_max(df: DataFrame, col: str) -> DataFrame:

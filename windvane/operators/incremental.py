@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windvane.operators.windows import add_rolling_features
-from windvane.session import cut_lineage
+from windvane.session import cut_lineage, path_exists
 
 
 @dataclass(frozen=True)
@@ -50,8 +50,7 @@ class DailyTable:
         _replace(touched.withColumn("delivery", F.lit(delivery)), f"{self.path}/sums", ["Date", "delivery"])
 
         first = touched.groupBy(*keys).agg(F.min("Date").alias("_first"))
-        stored = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/features")
-        exists = stored.getFileSystem(spark._jsc.hadoopConfiguration()).exists(stored)
+        exists = path_exists(spark, f"{self.path}/features")
         since = first.agg(F.min("_first")).first()[0]
         if exists and self.window > 1:
             # the earliest of the window - 1 rows before a machine's first touched day; only keys and dates are read

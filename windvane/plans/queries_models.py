@@ -451,7 +451,10 @@ def _(spark, sf):
     horizons = {8: "label", 20: "label_20"}
     cuts = [(c, names[m], horizons.get(h, f"label_{h}"), cut) for c, m, h, cut in models.THRESHOLDS]
     thresholds = spark.createDataFrame(cuts, "component string, model string, horizon string, cut double")
-    runs = models.model_matrix(data, specs, list(horizons.values()), features, _ROW, thresholds, threads=6)
+    store = scratch_path(spark, "matrix")
+    # a first call that stops after one model, and the call that goes on from there
+    models.model_matrix(data, dict(list(specs.items())[:1]), list(horizons.values()), features, _ROW, threads=6, store=store)
+    runs = models.model_matrix(data, specs, list(horizons.values()), features, _ROW, thresholds, threads=6, store=store)
     keys = ["component", "model", "horizon"]
     hit = (F.col("y_test") == 1) & (F.col("y_pred") == 1)
     counted = runs.groupBy(*keys).agg(

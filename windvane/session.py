@@ -28,6 +28,7 @@ def session(app: str = "windvane", master: str | None = None, **conf: str) -> Sp
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.scheduler.mode": "FAIR",  # side by side runs get a pool each, see operators.models.model_matrix
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
@@ -58,6 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later steps read the stored rows and never recompute them."""
     shared_dir(df.sparkSession)
