@@ -6,11 +6,12 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from math import prod
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windvane.functions.scalar import at_least, case_flag
-from windvane.operators import aggregates, evaluation, hashed_neighbours, labels, models, neighbours, ordered, scaling, windows
+from windvane.operators import aggregates, evaluation, hashed_neighbours, labels, models, neighbours, ordered, scaling, stages, windows
 from windvane.plans import turbines
 from windvane.plans.registry import (
     COMPONENTS, FAILURES_SQL, SENSORS, SIGNALS_SQL, failures, load, query, r, signals, wide_signals,
@@ -222,16 +223,16 @@ def _setup(**changes):
     )
 
 
-def _learning(spark, sf, setup=None):
-    """Per component: scaled training and test rows. And the feature names, the same for all."""
+def _learning(spark, sf, setup=None, scaled=True):
+    """Per component: training and test rows, scaled by the training rows. And the feature names, the same for all."""
     setup = setup or _setup()
     daily = cut_lineage(turbines.daily_labelled(wide_signals(spark, sf), failures(spark, sf), setup))
 
     def prepare(component):
         table = cut_lineage(turbines.component_table(daily, component, setup))
         features = [c for c in table.columns if c not in turbines.not_features(setup)]
-        train, test = turbines.split_table(table, component, setup)
-        return tuple(cut_lineage(t) for t in scaling.scale_each_column(train, test, features)), features
+        sides = turbines.split_table(table, component, setup)
+        return tuple(cut_lineage(t) for t in (scaling.scale_each_column(*sides, features) if scaled else sides)), features
 
     with ThreadPoolExecutor(max_workers=5) as pool:
         found = dict(zip(turbines.LOG_COMPONENTS, pool.map(prepare, turbines.LOG_COMPONENTS), strict=True))
@@ -532,6 +533,28 @@ def _(spark, sf):
     return _each(data, run)
 
 
+@query(
+    "s9_pipeline_model",
+    f"""WITH {_TRUTH_SQL} SELECT component, count(*) AS rows, count(*) AS same FROM sides WHERE side = 'test' GROUP BY component""",
+)
+def _(spark, sf):
+    """The published scaler and classifier of every component as one stored pipeline: test rows, and how many the reloaded pipeline scores as the run did."""
+    data, _ = _learning(spark, sf, scaled=False)
+    path = _published_run(spark, sf)
+    fitted, scalers = turbines.load_run(path, list(turbines.LOG_COMPONENTS), spark)
+    stored = spark.read.parquet(f"{path}/predictions")
+
+    def run(component):
+        place = scratch_path(spark, f"pipeline-{component}")
+        stages.as_pipeline(fitted[component], scalers[component], _ROW).write().overwrite().save(place)
+        found = PipelineModel.load(place).transform(data[component][1]).select(*_ROW, "prediction", F.col("score").alias("s"))
+        both = found.join(stored.filter(F.col("component") == component).select(*_ROW, "y_pred", "score"), _ROW)
+        same = (F.col("prediction") == F.col("y_pred")) & (F.abs(F.col("score") - F.col("s")) < 1e-9)
+        return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(same).alias("same"))
+
+    return _each(data, run)
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 
