@@ -3,8 +3,11 @@
 import hashlib
 import random
 import re
+import time
 
-from windvane.llm.secrets import labelled_tokens, markov_ratio, redact, secret_scan, with_spans
+from pyspark.sql import functions as F
+
+from windvane.llm.secrets import ALPHABET, DIFFERENT, KINDS, MARGIN, STATES, TOKEN, labelled_tokens, markov_ratio, redact, secret_scan, with_spans
 
 BASE = [
     ("assign", re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 1, 12),
@@ -111,3 +114,68 @@ def test_redaction(spark):
 
 def test_no_python_in_the_plan(odd):
     assert not re.search("Python|Pandas|Arrow", secret_scan(odd)._jdf.queryExecution().toString())
+
+
+def plain_random(text, ratio):
+    """The random spans by a plain loop over the tokens."""
+    fixed, found = base(text), []
+    for m in re.finditer(TOKEN, text):
+        states = [ALPHABET.index(c) + 1 for c in m[0]]
+        score = sum(round(ratio[x * STATES + y], 5) for x, y in zip([0, *states], states))
+        if len(set(states)) >= DIFFERENT and score >= MARGIN and not any(a < m.end() and m.start() < b for a, _, b in fixed):
+            found.append((m.start(), len(KINDS), m.end()))
+    return found
+
+
+def test_all_spans_against_plain_code(spark, small):
+    """Texts of a few to a thousand tokens, so that running sums take one, two and three levels of blocks."""
+    rng = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+    parts = ["password=", "token: ", "AKIA", "é", "😀", "the ", "documentation ", "\n", "=", " "]
+    rows = [(i, "".join(rng.choice(parts) + "".join(rng.choices(letters, k=rng.randrange(9, 30))) + rng.choice(["", " "]) for _ in range(n)))
+            for i, n in enumerate([0, 1, 3, 63, 64, 65, 200, 5000])]
+    ratio = markov_ratio(labelled_tokens(small("documents"), "doc_id", "text"))
+    found = with_spans(spark.createDataFrame(rows, "doc_id long, text string"), ratio, "text").collect()
+    assert len(found) == len(rows)
+    for r in found:
+        text = dict(rows)[r["doc_id"]]
+        assert [tuple(s) for s in r["__spans"]] == sorted(base(text) + plain_random(text, ratio))
+
+
+def test_time_grows_with_the_length(spark, small):
+    """One text of 0.6 MB and 40,000 tokens, and one of twice that."""
+    rng = random.Random(13)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    ratio = markov_ratio(labelled_tokens(small("documents"), "doc_id", "text"))
+    took = []
+    for n in (40_000, 40_000, 80_000):
+        text = " ".join("".join(rng.choices(letters, k=14)) for _ in range(n))
+        start = time.perf_counter()
+        found = with_spans(spark.createDataFrame([(1, text)], "doc_id long, text string"), ratio, "text").select(F.size("__spans")).first()[0]
+        took.append(time.perf_counter() - start)
+        assert found > 0.9 * n
+    assert took[2] < 3 * took[1]  # a square would be four times; the machine may be busy
+
+
+def test_long_redaction(spark):
+    rng = random.Random(14)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    rows = []
+    for i, n in enumerate([1, 70, 9000]):
+        parts = [("é😀 " * rng.randrange(1, 400 if n < 100 else 4), "password=" + "".join(rng.choices(letters, k=14))) for _ in range(n)]
+        rows.append((i, " ".join(a + b for a, b in parts) + " end", " ".join(a + "[secret]" for a, _ in parts) + " end"))
+    out = {r["doc_id"]: r["text"] for r in redact(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    assert out == {r[0]: r[2] for r in rows}
+
+
+def test_repeated_ids_are_sampled_once(spark):
+    rows = [(1, f"word{i} getDocumentElement") for i in range(300)] + [(2, "another")]
+    assert labelled_tokens(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").where("not random").count() == 3
+
+
+def test_columns_named_as_the_steps(spark):
+    names = ["__found", "__base", "__spans", "__clean", "row", "clean", "found", "__pages", "__whole", "a.b"]
+    docs = spark.createDataFrame([(1, "password=abcdefghijkl1 x"), (2, "plain")], "doc_id long, text string").select("*", *[F.lit(n).alias(n) for n in names])
+    out = redact(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == [(1, "[secret] x", *names), (2, "plain", *names)]

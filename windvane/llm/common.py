@@ -25,6 +25,12 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns named c0, c1, ..., so that none clashes with the columns of an operator, and the new names by the old ones."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker, so that the tasks it runs one after another share it."""
     holder = sys.modules.setdefault("windvane_worker_cache", types.ModuleType("windvane_worker_cache"))

@@ -9,11 +9,14 @@ Offsets are code points; ends are exclusive.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from windvane.llm.common import numbered
 from windvane.llm.rules import let
+from windvane.session import cut_lineage
 
 # The kinds in their order, with pattern, group that is measured, and its least length.
 KINDS = [
@@ -27,46 +30,74 @@ STATES = len(ALPHABET) + 1  # and the start
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}={0,2}"
 MARGIN = 8.0  # natural logarithm of how much likelier random must be
 DIFFERENT = 5  # characters a random string has at least
+BLOCK = 64  # entries whose running totals are built in one go
+PAGE = 512  # characters in which a place is looked up
 SAMPLE_DOCS = 2000  # rows whose words are the sample of ordinary identifiers, at most
 SAMPLE_RANDOM = 2000  # strings made from digests, the sample of random ones
 
 
-def _spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
-    """array<struct<start, kind, end>> of the leftmost non-overlapping matches, in order.
+def _plain_running(values: Column, zero: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    def step(state: Column, value: Column) -> Column:
+        at = merge(state["at"], value)
+        return F.struct(at.alias("at"), F.concat(state["out"], F.array(at)).alias("out"))
 
-    The pieces between matches and the matches alternate, so offsets are sums of their lengths. Every match of
-    one character or more is found before the short ones are dropped.
-    """
+    return F.aggregate(values, F.struct(zero.alias("at"), F.slice(F.array(zero), 1, 0).alias("out")), step)["out"]
 
-    def placed(hits: Column) -> Column:
-        def walk(gaps: Column) -> Column:
-            def step(state: Column, i: Column) -> Column:
-                start = state["at"] + F.length(F.get(gaps, i))
-                end = start + F.length(F.get(hits, i))
-                span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-                return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-            empty = F.expr("cast(array() as array<struct<start: int, kind: int, end: int>>)")
-            state = F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), F.struct(F.lit(0).alias("at"), empty.alias("spans")), step)
-            return state["spans"]
+def with_running(rows: DataFrame, name: str, source: str, zero: Column, merge: Callable[[Column, Column], Column], levels: int = 3) -> DataFrame:
+    """``rows`` with the running totals of the array ``source``; ``merge`` is associative and ``zero`` changes nothing.
+
+    An array in an aggregate is copied at every step, so totals are built inside blocks of ``BLOCK`` entries, then over the totals of the
+    blocks in the same way. The time grows with the length of the array, up to BLOCK ** levels entries.
+    """
+    if levels == 1:
+        return rows.withColumn(name, _plain_running(F.col(source), zero, merge))
+    values, b, t, r = F.col(source), f"{name}_b", f"{name}_t", f"{name}_r"
+    last = F.floor((F.size(values) - 1) / BLOCK).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: _plain_running(F.slice(values, i * BLOCK + 1, BLOCK), zero, merge))
+    rows = rows.withColumn(b, F.when(F.size(values) > BLOCK, cut).otherwise(F.array(_plain_running(values, zero, merge))))
+    rows = with_running(rows.withColumn(t, F.transform(b, lambda x: F.get(x, F.size(x) - 1))), r, t, zero, merge, levels - 1)
+    before = F.slice(F.concat(F.array(zero), r), 1, F.size(b))
+    joined = F.flatten(F.zip_with(b, before, lambda x, first: F.transform(x, lambda y: merge(first, y))))
+    return rows.withColumn(name, F.when(F.size(b) > 1, joined).otherwise(F.get(b, F.lit(0)))).drop(b, t, r)
 
-        spans = let(F.split(text, pattern, -1), walk)
-        if group:
-            values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-            spans = F.transform(
-                F.filter(F.arrays_zip(spans.alias("s"), F.transform(values, F.length).alias("n")), lambda x: x["n"] >= least), lambda x: x["s"]
-            )
-        elif least:
-            spans = F.filter(spans, lambda s: s["end"] - s["start"] >= least)
-        none = F.expr("cast(array() as array<struct<start: int, kind: int, end: int>>)")
-        return F.when(F.size(hits) == 0, none).otherwise(spans)
 
-    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+def _sum(x: Column, y: Column) -> Column:
+    return x + y
 
 
-def base_spans(text: Column) -> Column:
-    """Spans of the fixed patterns by start, then kind."""
-    return F.sort_array(F.concat(*[_spans(text, pattern, i, group, least) for i, (_, pattern, group, least) in enumerate(KINDS)]))
+def with_hits(rows: DataFrame, name: str, text: str, pattern: str, kind: int, group: int = 0, least: int = 0) -> DataFrame:
+    """``rows`` with array<struct<start, kind, end, hit>> of the leftmost non-overlapping matches, in order.
+
+    The pieces between matches and the matches alternate, so offsets are running sums of their lengths. Every match of
+    one character or more is found before the short ones are dropped.
+    """
+    h, n, e = f"{name}_h", f"{name}_n", f"{name}_e"
+    rows = rows.withColumn(h, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(h))
+    size = F.zip_with(gaps, h, lambda g, x: F.length(g) + F.length(x))
+    rows = rows.withColumn(n, F.when(F.size(h) > 0, size).otherwise(F.expr("cast(array() as array<int>)")))
+    rows = with_running(rows, e, n, F.lit(0), _sum)
+    spans = F.zip_with(e, h, lambda end, x: F.struct((end - F.length(x)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x.alias("hit")))
+    if group:
+        values = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length)
+        long = F.filter(F.arrays_zip(spans.alias("s"), values.alias("n")), lambda x: x["n"] >= least)
+        spans = F.when(F.size(h) > 0, F.transform(long, lambda x: x["s"])).otherwise(spans)
+    elif least:
+        spans = F.filter(spans, lambda s: s["end"] - s["start"] >= least)
+    return rows.withColumn(name, spans).drop(h, n, e)
+
+
+def _bare(hits: str | Column) -> Column:
+    return F.transform(hits, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+
+
+def with_base_hits(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with ``__hits``, the matches of the fixed patterns by start, then kind."""
+    for i, (kind, pattern, group, least) in enumerate(KINDS):
+        rows = with_hits(rows, f"__{kind}", text, pattern, i, group, least)
+    kinds = [f"__{kind}" for kind, *_ in KINDS]
+    return rows.withColumn("__hits", F.sort_array(F.concat(*kinds))).drop(*kinds)
 
 
 def _states(token: Column) -> Column:
@@ -90,17 +121,17 @@ def markov_ratio(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
 def labelled_tokens(docs: DataFrame, id_column: str, text_column: str, sample_docs: int = SAMPLE_DOCS, sample_random: int = SAMPLE_RANDOM) -> DataFrame:
     """(token, random): words of a bounded sample of rows, their known secrets, and strings made from digests.
 
-    The sample is the ``sample_docs`` rows with the smallest hashed id; rows without id are not sampled.
+    The sample is one row of each of the ``sample_docs`` ids with the smallest hash (of rows that repeat an id the one with the smallest text);
+    rows without id are not sampled.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     chosen = rows.where("id is not null").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample_docs)
-    sampled = rows.join(F.broadcast(chosen), "id", "left_semi")  # at most sample_docs ids
-    found = sampled.select("text", base_spans(F.col("text")).alias("spans"))
-    words = found.where(F.size("spans") == 0).select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9+/_-]{4,}"), F.lit(0))).alias("token"))
-    known = found.select("text", F.explode("spans").alias("s")).select(
-        F.regexp_extract(F.expr("substring(text, s.start + 1, s.end - s.start)"), "([A-Za-z0-9+/_-]+=*)[^A-Za-z0-9+/_=-]*$", 1).alias("token")
-    )
+    sampled = rows.join(F.broadcast(chosen), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))  # at most sample_docs rows
+    # stored, so that the filters below are not moved into the steps of the search
+    found = cut_lineage(with_base_hits(sampled.select("text"), "text").select("text", "__hits"))
+    words = found.where(F.size("__hits") == 0).select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9+/_-]{4,}"), F.lit(0))).alias("token"))
+    known = found.select(F.explode("__hits.hit").alias("hit")).select(F.regexp_extract("hit", "([A-Za-z0-9+/_-]+=*)[^A-Za-z0-9+/_=-]*$", 1).alias("token"))
     digest = F.sha2(F.col("id").cast("string"), 256)
     made = spark.range(sample_random).select(
         F.explode(F.array(digest, F.base64(F.unhex(digest)), F.upper(F.regexp_replace(F.base64(F.unhex(digest)), "[+/=]", "")))).alias("token")
@@ -112,8 +143,7 @@ def labelled_tokens(docs: DataFrame, id_column: str, text_column: str, sample_do
     )
 
 
-def random_spans(text: Column, ratio: list[float], base: Column, margin: float = MARGIN) -> Column:
-    """Spans of random-looking tokens that touch none of the ``base`` spans."""
+def looks_random(token: Column, ratio: list[float], margin: float = MARGIN) -> Column:
     table = F.expr(f"cast(split('{','.join(f'{x:.5f}' for x in ratio)}', ',') as array<double>)")
 
     def score(states: Column) -> Column:
@@ -125,12 +155,29 @@ def random_spans(text: Column, ratio: list[float], base: Column, margin: float =
             ),
         )
 
-    def secret(span: Column) -> Column:
-        states = _states(F.substring(text, span["start"] + 1, span["end"] - span["start"]))
-        free = ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-        return let(states, lambda s: (F.size(F.array_distinct(s)) >= DIFFERENT) & (score(s) >= margin)) & free
+    return let(_states(token), lambda s: (F.size(F.array_distinct(s)) >= DIFFERENT) & (score(s) >= margin))
+
+
+def with_random_spans(rows: DataFrame, text: str, ratio: list[float], margin: float = MARGIN) -> DataFrame:
+    """``rows`` with ``__more``, the spans of random-looking tokens that touch no character of a span in ``__base``.
+
+    Base spans by start and tokens by end form one line (a token before a base span that starts at its end); the largest end of the base
+    spans met so far tells whether one of them reaches into the token.
+    """
+
+    def event(s: Column, at: Column, base: int, reach: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(base).alias("base"), s.alias("s"), reach.alias("reach"))
 
-    return F.filter(_spans(text, TOKEN, len(KINDS)), secret)
+    rows = with_hits(rows, "__token", text, TOKEN, len(KINDS))
+    rows = rows.withColumn("__found", _bare(F.filter("__token", lambda s: looks_random(s["hit"], ratio, margin))))
+    line = F.concat(
+        F.transform("__base", lambda s: event(s, s["start"], 1, s["end"])), F.transform("__found", lambda s: event(s, s["end"], 0, F.lit(0)))
+    )
+    rows = rows.withColumn("__line", F.sort_array(line)).withColumn("__to", F.col("__line.reach"))
+    rows = with_running(rows, "__reach", "__to", F.lit(0), F.greatest)
+    both = F.zip_with("__line", "__reach", lambda e, r: F.struct(e["base"].alias("base"), e["s"].alias("s"), r.alias("r")))
+    free = F.transform(F.filter(both, lambda x: (x["base"] == 0) & (x["r"] <= x["s"]["start"])), lambda x: x["s"])
+    return rows.withColumn("__more", free).drop("__token", "__found", "__line", "__to", "__reach")
 
 
 def _listed(spans: Column) -> Column:
@@ -139,11 +186,14 @@ def _listed(spans: Column) -> Column:
 
 
 def with_spans(docs: DataFrame, ratio: list[float], text_column: str, margin: float = MARGIN) -> DataFrame:
-    """``docs`` with ``__base`` and ``__spans`` (base and random spans in order); a null text has none."""
-    text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
-    both = let(text, lambda t: let(base_spans(t), lambda b: F.struct(b.alias("base"), random_spans(t, ratio, b, margin).alias("more"))))
-    rows = docs.withColumn("__found", both)
-    return rows.withColumn("__base", F.col("__found.base")).withColumn("__spans", F.sort_array(F.concat("__found.base", "__found.more"))).drop("__found")
+    """``docs`` with ``__base`` and ``__spans`` (base and random spans in order); a null text has none.
+
+    Columns of ``docs`` must not begin with two underscores, ``__id`` and ``__text`` excepted.
+    """
+    rows = docs.withColumn("__whole", F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")))
+    rows = with_base_hits(rows, "__whole").withColumn("__base", _bare("__hits"))
+    rows = with_random_spans(rows, "__whole", ratio, margin)
+    return rows.withColumn("__spans", F.sort_array(F.concat("__base", "__more"))).drop("__whole", "__hits", "__more")
 
 
 def secret_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", margin: float = MARGIN) -> DataFrame:
@@ -166,23 +216,45 @@ def redact(
 ) -> DataFrame:
     """``docs`` with every span of a secret replaced by ``mark`` (touching or overlapping spans by one).
 
-    ``length_column`` gets the new number of characters. Rows without a secret, null texts among them, are unchanged.
+    ``length_column`` gets the new number of characters. Rows without a secret, null texts among them, are unchanged; repeated rows are changed
+    alike; an empty table stays empty; all other columns, whatever their names, are returned as they are.
     """
-    rows = with_spans(docs, markov_ratio(labelled_tokens(docs, id_column, text_column)), text_column, margin)
+    ratio = markov_ratio(labelled_tokens(docs, id_column, text_column))
+    rows, names = numbered(docs)
+    text = F.col(names[text_column])
+    rows = with_spans(rows, ratio, names[text_column], margin)
+    found = F.size("__spans") > 0
+    # a place is looked up in its page, since finding a character from the start of a long text takes as long as the text
+    pages = F.regexp_extract_all(text.cast("string"), F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
+    rows = rows.withColumn("__pages", F.when(found, pages)).withColumn("__end", F.col("__spans.end"))
+    rows = with_running(rows, "__reach", "__end", F.lit(0), F.greatest).withColumn("__pieces", _pieces(text))
+    clean = F.array_join(F.transform("__pieces", lambda g: _cut(F.col("__pages"), g["a"], g["b"])), mark)
+    rows = rows.withColumn("__clean", F.when(found, clean).otherwise(text.cast("string")))
+    changed = {text_column: F.col("__clean")}
+    if length_column:
+        was = F.col(names[length_column])
+        changed[length_column] = F.when(found, F.length("__clean").cast(docs.schema[length_column].dataType)).otherwise(was)
+    return rows.select(*[changed.get(c, F.col(k)).alias(c) for c, k in names.items()])
 
-    def step(state: Column, s: Column) -> Column:
-        piece = F.substring(F.col(f"`{text_column}`"), state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        fresh = (s["start"] > state["at"]) | (state["at"] == 0)
-        out = F.when(s["end"] <= state["at"], state["out"]).otherwise(F.concat(state["out"], piece, F.when(fresh, F.lit(mark)).otherwise(F.lit(""))))
-        return F.struct(F.greatest(s["end"], state["at"]).alias("at"), out.alias("out"))
 
-    def finish(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(F.col(f"`{text_column}`"), state["at"] + 1, F.length(F.col(f"`{text_column}`"))))
+def _cut(pages: Column, a: Column, b: Column) -> Column:
+    """Characters a to b of a text in pages."""
+    first, last = F.floor(a / PAGE).cast("int"), F.floor(b / PAGE).cast("int")
 
-    clean = F.aggregate("__spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, finish)
-    found = F.size("__spans") > 0
-    rows = rows.withColumn("__clean", F.when(found, clean).otherwise(F.col(f"`{text_column}`")))
-    if length_column:
-        kind = docs.schema[length_column].dataType
-        rows = rows.withColumn(length_column, F.when(found, F.length("__clean").cast(kind)).otherwise(F.col(f"`{length_column}`")))
-    return rows.withColumn(text_column, F.col("__clean")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    def part(page: Column, i: Column) -> Column:
+        begin = F.when(i == 0, a % PAGE).otherwise(F.lit(0))
+        return F.substring(page, begin + 1, F.when(i == last - first, b % PAGE).otherwise(F.lit(PAGE)) - begin)
+
+    return F.array_join(F.transform(F.slice(pages, first + 1, last - first + 1), part), "")
+
+
+def _pieces(text: Column) -> Column:
+    """What ``__spans`` leave of a text, as (a, b): before the first, between those that do not touch, and after the last.
+
+    ``__reach`` is the largest end up to each span; a span that the reach of those before meets has no piece before it.
+    """
+    before = F.concat(F.array(F.lit(0)), "__reach")
+    inner = F.transform("__spans", lambda s, i: F.struct(F.get(before, i).alias("a"), s["start"].alias("b"), i.alias("i")))
+    inner = F.filter(inner, lambda g: (g["b"] > g["a"]) | (g["i"] == 0))
+    after = F.struct(F.get("__reach", F.size("__reach") - 1).alias("a"), F.length(text.cast("string")).alias("b"), F.size("__spans").alias("i"))
+    return F.when(F.size("__spans") > 0, F.concat(inner, F.array(after)))
