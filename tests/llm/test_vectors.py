@@ -84,3 +84,12 @@ def test_odd_rows(spark):
         assert out[i] == (0, i, True)
     assert out[None] == (0, None, False)
     assert V.vector_near_dups(data.limit(0)).count() == 0
+
+
+def test_sample_is_drawn_from_crowded_labels(spark):
+    """Many small labels beside a large one send nothing to the driver."""
+    points = spark.range(6000).selectExpr("id", "if(id < 500, -1, id % 500) as label", "array(1.0D, id) as vec", "2 as dim")
+    crowded = points.groupBy("label", "dim").count().where("count > 100")
+    assert {r["label"] for r in V._sample(points, crowded, 1.0).collect()} == {-1}
+    assert V._sample(points, crowded, 1.0).count() == 500
+    assert 0 < V._sample(points, crowded, 0.2).count() < 250

@@ -28,6 +28,7 @@ from windvane.session import cut_lineage
 BLOCK = 1024  # points of a block; two blocks are all a task holds
 LEAF = 16  # points below which a node is not cut further
 MAX_PIVOTS = 4096  # over all labels; cells beyond BLOCK points are dealt into more blocks
+SPREAD = 64  # keys on which the blocks of one label meet
 _SLACK = 1e-7  # of a chord: for almost equal vectors its rounding error is the root of that of the product
 
 
@@ -174,6 +175,12 @@ def _pivots(sample: pd.DataFrame, wanted: dict) -> dict:
     return nets
 
 
+def _sample(points: DataFrame, crowded: DataFrame, share: float) -> DataFrame:
+    """About that share of the vectors of the crowded labels, and none of other labels."""
+    drawn = points.where(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < share * 1_000_003)
+    return drawn.join(crowded, ["label", "dim"], "left_semi").select("label", "dim", "vec")
+
+
 def _tree_columns(tree: CoverTree) -> dict:
     return {n: getattr(tree, n).tobytes() for n in ("start", "end", "radius", "child", "children")}
 
@@ -213,14 +220,14 @@ def vector_near_dups(
         .withColumn("dim", F.size("vec"))
     )
 
-    large = points.groupBy("label", "dim").count().where(F.col("count") > BLOCK).toPandas()  # at most points / BLOCK rows
+    crowded = cut_lineage(points.groupBy("label", "dim").count().where(F.col("count") > BLOCK))
+    large = crowded.toPandas()  # at most points / BLOCK rows
     scale = min(1.0, MAX_PIVOTS / max(1.0, float(np.ceil(large["count"] / BLOCK).sum())))
     wanted = {(label, dim): max(1, int(-(-n // BLOCK) * scale)) for label, dim, n in large.itertuples(index=False)}
     nets = {}
     if wanted:
         share = 8.0 * scale / BLOCK
-        sample = points.where(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < share * 1_000_003)
-        nets = _pivots(sample.select("label", "dim", "vec").toPandas(), wanted)
+        nets = _pivots(_sample(points, crowded, share).toPandas(), wanted)  # about 8 * MAX_PIVOTS vectors at most
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,12 +264,13 @@ def vector_near_dups(
         .applyInPandas(build, f"label {kind}, dim int, block long, centre array<double>, reach double, {held}")
     )
     # blocks are named by the id of their first point, which no other block holds
-    one = blocks.select("label", "dim", F.col("block").alias("a"), F.col("centre").alias("ca"), F.col("reach").alias("ra"))
-    two = blocks.select("label", "dim", F.col("block").alias("b"), F.col("centre").alias("cb"), F.col("reach").alias("rb"))
+    # all blocks of a label meet; one side is dealt out and the other sent to every part, so that a hot label is many keys
+    one = blocks.select("label", "dim", F.pmod(F.xxhash64("block"), F.lit(SPREAD).cast("long")).alias("salt"), F.col("block").alias("a"), F.col("centre").alias("ca"), F.col("reach").alias("ra"))
+    two = blocks.select("label", "dim", F.explode(F.expr(f"sequence(0L, {SPREAD - 1}L)")).alias("salt"), F.col("block").alias("b"), F.col("centre").alias("cb"), F.col("reach").alias("rb"))
     dot = F.aggregate(F.zip_with("ca", "cb", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     threshold = float(np.sqrt(max(0.0, 2.0 - 2.0 * cosine)))
     close = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * dot)) <= F.col("ra") + F.col("rb") + threshold + 2 * _SLACK
-    meet = one.join(two, ["label", "dim"]).where("a <= b").where(close).select("a", "b")
+    meet = one.join(two, ["label", "dim", "salt"]).where("a <= b").where(close).select("a", "b")
     visits = meet.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
