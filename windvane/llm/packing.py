@@ -310,8 +310,9 @@ def pack(
         for part in text_slices(batches, "text"):
             column = part.column("text")
             column = column.fill_null("") if column.null_count else column
-            if not pc.any(pc.match_substring(column, "<|")).as_py():  # else capitals may tell a special token from other text
-                column = pc.replace_substring_regex(pc.ascii_lower(column), BEFORE_MARK, "\\1 \\2")  # less different words
+            lowered = pc.replace_substring_regex(pc.ascii_lower(column), BEFORE_MARK, "\\1 \\2")  # less different words
+            special = pc.match_substring(column, "<|")  # there capitals may tell a special token from other text
+            column = pc.if_else(special, column, lowered) if pc.any(special).as_py() else lowered
             words = pc.ascii_split_whitespace(column)
             counts = words.value_lengths().to_numpy().astype(np.int64)
             rows = table.rows_of(words.flatten())
