@@ -14,8 +14,8 @@ import corpus_pipeline  # noqa: E402
 def test_registered():
     import __spark_entry__ as entry
 
-    assert len([n for n in QUERIES if re.match(r"op\d+_", n)]) == 10
-    assert {re.match(r"op(\d+)_", n)[1] for n in QUERIES} == set(map(str, range(1, 11)))
+    assert len([n for n in QUERIES if re.match(r"op\d+_", n)]) == 13
+    assert {re.match(r"op(\d+)_", n)[1] for n in QUERIES} == set(map(str, range(1, 14)))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
@@ -82,6 +82,21 @@ def test_odd_rows(spark, odd, none, tmp_path):
         assert (docs.count() > 0) == (name == "odd")
 
 
+def test_columns_named_as_those_of_the_operators(spark):
+    """Stages keep columns whose names they use themselves."""
+    from pyspark.sql import functions as F
+
+    names = ["__m", "__n", "__votes", "__posterior", "__base_failed", "__kept", "__base", "__spans", "__found", "__clean", "__lang_pred",
+             "__lang_score", "__lang_set", "__lowered", "__letters", "__place", "c0", "row"]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).select("*", *[F.lit(n).alias(n) for n in names]).cache()
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns
+        assert all(tuple(r) == tuple(names) for r in out.select(*names).collect())
+        kept = out.select("doc_id", "lang", "source").exceptAll(docs.select("doc_id", "lang", "source"))
+        assert kept.count() == 0 and out.count() > 0
+
+
 def test_run(spark, stages):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert sorted(out.columns) == sorted(stages[1][-1])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import SLICE_BYTES, held_out, text_slices, tidy, utf8
+from windvane.llm.common import SLICE_BYTES, held_out, numbered, text_slices, tidy, utf8
 
 GRAMS = 1 << 16  # hashed n-grams of a language's model
 SMOOTHING = 0.5
@@ -186,14 +186,15 @@ def language_id(
 
 
 def keep_known(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", least: float = 0.4, folds: int = 4, fold: int = 2) -> DataFrame:
-    """The rows of ``docs`` with a language, with their columns unchanged.
+    """The rows of ``docs`` with a language, with their columns unchanged, whatever their names. Repeated rows are judged alike.
 
     A text is rejected when it has no letter, or when no language holds at least ``least`` of its words. Without any labelled row nothing can be learned
     and only texts without a letter are rejected.
     """
     model = fit_languages(docs.where(~held_out(id_column, folds, fold)), text_column, lang_column)
-    judged = identify_languages(docs, model, text_column, prefix="__lang_")
+    rows, names = numbered(docs)
+    judged = identify_languages(rows, model, names[text_column], prefix="__lang_")
     fine = (F.col("__lang_pred") != UNKNOWN) & (F.col("__lang_score") >= least)
     if not model[0]:
-        fine = F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False))
-    return judged.where(fine).select(*[F.col(f"`{c}`") for c in docs.columns])
+        fine = F.coalesce(F.col(names[text_column]).rlike(r"\p{L}"), F.lit(False))
+    return judged.where(fine).select(*names.values()).toDF(*docs.columns)

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from windvane.llm.common import numbered
 from windvane.session import cut_lineage
 
 WINDOW = 8
@@ -206,5 +207,9 @@ def quality_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def keep_good(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text is kept, with their columns unchanged."""
-    return judged(cut_lineage(with_measures(docs, text_column))).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` whose text is kept, with their columns unchanged, whatever their names.
+
+    A null text has no words and goes; repeated rows are judged alike; an empty table stays empty.
+    """
+    rows, names = numbered(docs)
+    return judged(cut_lineage(with_measures(rows, names[text_column]))).where("__kept").select(*names.values()).toDF(*docs.columns)

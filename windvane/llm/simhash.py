@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windvane.llm.common import components, forest, release, text_slices, tidy
+from windvane.llm.common import components, forest, numbered, release, text_slices, tidy
 from windvane.session import broadcast_if_small, cut_lineage
 
 PAGE_KEYS = 8192
@@ -284,8 +284,9 @@ def first_of_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     same rows in the same places when it is read again, as a stored table does. The rows to drop are broadcast when they were
     measured small; otherwise the rows are joined by place.
     """
-    placed = docs.withColumn("__place", F.monotonically_increasing_id())
-    order = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), F.col("__place").alias("place"))
-    found = simhash_near_dups(placed.select(order.alias("row"), F.col(text_column).alias("text")), "row", "text", shingle, max_bits)
+    rows, names = numbered(docs)
+    placed, key = rows.withColumn("__place", F.monotonically_increasing_id()), F.col(names[id_column])
+    order = F.struct(key.isNull().alias("none"), key.alias("id"), F.col("__place").alias("place"))
+    found = simhash_near_dups(placed.select(order.alias("row"), F.col(names[text_column]).alias("text")), "row", "text", shingle, max_bits)
     dropped = cut_lineage(found.where(F.col("row") != F.col("component_id")).select(F.col("row.place").alias("__place")))
-    return placed.join(broadcast_if_small(dropped), "__place", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return placed.join(broadcast_if_small(dropped), "__place", "left_anti").select(*names.values()).toDF(*docs.columns)
