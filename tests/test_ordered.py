@@ -62,6 +62,13 @@ def test_positions_with_identical_rows(spark):
     assert got == list(range(350))
 
 
+def test_placing_by_range_sends_samples_of_few_partitions(spark):
+    """Every range partition sends a sample and a count to the driver, so their number must not follow ``task_rows``."""
+    placed = ordered.place_rows(spark.range(3000).withColumn("t", F.col("id") % 7), ["t", "id"], task_rows=10)
+    assert placed.rdd.getNumPartitions() <= 8
+    assert [r["pos"] for r in placed.orderBy("t", "id").select("pos").collect()] == list(range(3000))
+
+
 def test_large_group_is_cut(skewed):
     layout = ordered.measure(skewed, ["k"], ["id"], 20)
     assert not layout.whole

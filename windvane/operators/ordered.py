@@ -124,14 +124,18 @@ def lay_out(
     if layout is not None:
         return df, layout
     limit = S.group_rows(df, task_rows)
-    placed = _place_by_range(df, [*keys, *order], "_place", limit)
+    placed = _place_by_range(df, [*keys, *order], "_place")
     return placed, Layout(tuple(keys), ("_place",), float(limit), null_keys=bool(keys))
 
 
-def _place_by_range(df: DataFrame, order: list[str], name: str, limit: int) -> DataFrame:
-    """Global row position by range partitioning: a sort, a checkpoint and one offset per partition."""
+def _place_by_range(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Global row position by range partitioning: a sort, a checkpoint and one offset per partition.
+
+    A partition is sorted outside memory and numbered row by row, so its size does not follow a caller's ``task_rows``: every
+    partition sends a sample of its rows and its counts to the driver.
+    """
     rows = df.count()
-    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // limit))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // S.group_rows(df)))
     ties = [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.rand(0)]
     cols = [F.col(f"`{c}`") for c in order]
     ranged = (
@@ -160,7 +164,7 @@ def place_rows(df: DataFrame, order: list[str], name: str = "pos", task_rows: in
     limit = S.group_rows(df, task_rows)
     if df.count() <= limit:
         return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
-    return _place_by_range(df, order, name, limit)
+    return _place_by_range(df, order, name)
 
 
 def _prepare(df, keys, order, layout, task_rows):
