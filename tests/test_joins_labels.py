@@ -228,3 +228,26 @@ def test_remarks(spark):
     out = labels.one_hot_remarks(logs)
     assert out.count() == 2 and len(out.columns) == 2 + 15
     assert [r["Remark_Generator 1 in"] for r in out.collect()] == [1, 1]
+
+
+@pytest.mark.parametrize("most", [256, 2])
+def test_failure_flags_leave_a_large_grid_in_place(spark, rows, monkeypatch, most):
+    """Failures too many for a broadcast are listed by key: the grid is not shuffled by time; twins and nulls count as in the plain join."""
+    users = spark.createDataFrame([("A",), ("B",), ("C",), (None,)], "Turbine_ID string").distinct()
+    grid = joins.entity_grid(users, F.lit(at()).cast("timestamp"), F.lit(at(minutes=60)).cast("timestamp"))
+    marks = [(at(minutes=9), "A", "GEN"), (at(minutes=9), "A", "GEN"), (at(minutes=10), "A", "OIL"), (at(minutes=31), "B", None), (at(days=2), "B", "OIL"),
+             (None, "A", "OIL"), (at(minutes=20), None, "GEN"), (at(minutes=20), "D", "GEN")]
+    failures = spark.createDataFrame(marks, "Timestamp timestamp_ntz, Turbine_ID string, Component string")
+    plain = rows(labels.failure_flags_on_grid(grid, failures, ["GEN", "OIL"]))
+    assert len(plain) == 4 * 7 + 2 and sum(r[2] for r in plain) == 2 and sum(r[3] for r in plain) == 1
+    monkeypatch.setattr(S, "MAX_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(labels, "MAX_LISTED", most)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        listed = labels.failure_flags_on_grid(grid, failures, ["GEN", "OIL"])
+        assert rows(listed) == plain
+        plan = listed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_time = [line for line in plan.splitlines() if "hashpartitioning(Turbine_ID" in line and "Timestamp#" in line.split("hashpartitioning")[1].split(")")[0]]
+    assert bool(by_time) == (most == 2)

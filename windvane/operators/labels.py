@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from windvane.functions.scalar import case_flag
 from windvane.functions.time import MICROS_PER_DAY, ceil_time, days_between, micros
 from windvane.operators import ordered
 from windvane.operators.ordered import Layout
-from windvane.session import broadcast_if_small
+from windvane.session import is_small
 
+# Failures of one key that go to its grid rows as a list.
+MAX_LISTED = 256
 
 # The event-log remarks that become features.
 REMARKS = [
@@ -108,12 +111,28 @@ def failure_flags_on_grid(
     grid: DataFrame, failures: DataFrame, components: list[str], key: str = "Turbine_ID", ts: str = "Timestamp",
     component_col: str = "Component", minutes: int = 10,
 ) -> DataFrame:
-    """``Fail_<component>`` on the grid row a failure's time is rounded up to."""
+    """``Fail_<component>`` on the grid row a failure's time is rounded up to.
+
+    Failures too many for a broadcast go to the grid as one list per key, so the grid, the large side, is joined by its key alone: rows made
+    of an entity table stay where they are. Lists of more than MAX_LISTED failures are too long for that; then the grid is shuffled.
+    """
     marks = failures.select(key, ceil_time(ts, minutes).alias(ts), F.col(component_col).alias("_component"))
-    joined = grid.join(broadcast_if_small(marks), [key, ts], "left")
-    return joined.select(
-        *grid.columns, *[case_flag(F.col("_component") == F.lit(c)).alias(f"Fail_{c}") for c in components]
-    )
+    kind, small = grid.schema[ts].dataType, is_small(marks)
+    if not small and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        dated = marks.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+        most = dated.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        if most <= MAX_LISTED:
+            lists = dated.groupBy(key).agg(F.collect_list(F.struct(F.col(ts).cast(kind).alias("at"), "_component")).alias("_marks"))
+            listed = grid.join(lists.hint("shuffle_hash"), key, "left")
+            at = F.col(ts)
+            own = F.when(F.array_contains("_marks.at", at), F.filter("_marks", lambda m: m["at"] == at))
+            joined = listed.select(*grid.columns, F.explode_outer(own).alias("_mark")).withColumn("_component", F.col("_mark._component"))
+            return _failed(joined, grid.columns, components)
+    return _failed(grid.join(F.broadcast(marks) if small else marks, [key, ts], "left"), grid.columns, components)
+
+
+def _failed(joined: DataFrame, columns: list[str], components: list[str]) -> DataFrame:
+    return joined.select(*columns, *[case_flag(F.col("_component") == F.lit(c)).alias(f"Fail_{c}") for c in components])
 
 
 def one_hot(df: DataFrame, col: str, values: list, keep: list | None = None, only_listed: bool = False) -> DataFrame:
